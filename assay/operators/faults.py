@@ -49,7 +49,7 @@ def flip_sign_where(condition: Column, value: Column) -> Column:
 
 
 def shift(moment: Column, unit: str, amount: Column) -> Column:
-    """``moment`` moved by whole days, hours or minutes."""
+    """``moment`` moved by whole ``days``, ``hours`` or ``mins``."""
     return moment + F.make_dt_interval(**{unit: amount.cast("int")})
 
 

@@ -162,7 +162,7 @@ def generate_payments(orders: DataFrame, clock: Clock = NOW) -> DataFrame:
     paid = sample_keys(distinct_orders, "order_id", "payments.orders", rates["orders"])
     number = key_number(k)
     moment = shift(
-        F.col("order_date").cast("timestamp_ntz"), "minutes",
+        F.col("order_date").cast("timestamp_ntz"), "mins",
         pick_number(k, "payments.delay", 1, 180),
     )
     status = replace_where(

@@ -21,11 +21,6 @@ def key_number(key: Column) -> Column:
     return F.regexp_extract(key, "([0-9]+)$", 1).cast("bigint")
 
 
-def distinct_keys(df: DataFrame, key: str) -> DataFrame:
-    """The non-NULL keys, each once."""
-    return df.where(F.col(key).isNotNull()).select(key).distinct()
-
-
 def sample_keys(df: DataFrame, key: str, purpose: str, share: float) -> DataFrame:
     """Sample without replacement: each key is in or out by its own draw, with no sort."""
     return df.where(chance(F.col(key), purpose, share))

@@ -6,15 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def flag_existing(child: DataFrame, parent: DataFrame, key: str, flag: str) -> DataFrame:
+def distinct_keys(df: DataFrame, key: str) -> DataFrame:
+    """The non-NULL keys, each once; repeats are dropped on the map side first."""
+    return df.where(F.col(key).isNotNull()).select(key).distinct()
+
+
+def flag_existing(
+    child: DataFrame, parent: DataFrame, key: str, flag: str, parent_is_unique: bool = False
+) -> DataFrame:
     """Left-join a TRUE marker for child rows whose key is in ``parent``; the key moves first.
 
-    ``parent`` holds each key once (it is the valid side of a table that was reduced to one row
-    per key), so no distinct is needed. Leaving it out also keeps both join inputs bare
-    exchanges, the form in which adaptive execution splits a skewed child partition: a parent
-    key, or NULL, that owns a third of the child rows is spread over many tasks.
+    Pass ``parent_is_unique`` for a table that holds each key once, such as the valid side of a
+    deduplicated table. The join then reads bare exchanges on both sides, the form in which
+    adaptive execution splits a skewed child partition: a parent key, or NULL, that owns a third
+    of the child rows is spread over many tasks.
     """
-    return child.join(parent.select(key, F.lit(True).alias(flag)), on=key, how="left")
+    keys = parent.select(key) if parent_is_unique else distinct_keys(parent, key)
+    return child.join(keys.withColumn(flag, F.lit(True)), on=key, how="left")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:

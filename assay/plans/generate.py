@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from assay.functions.hashing import chance, pick_number, pick_one, pick_weighted
 from assay.operators.dedup import descending, first_per_key
 from assay.operators.faults import (
-    distinct_keys, fan_out, flip_sign_where, format_key, key_number, moment_text, null_where,
+    fan_out, flip_sign_where, format_key, key_number, moment_text, null_where,
     replace_where, sample_keys, shift, with_copies,
 )
+from assay.operators.references import distinct_keys
 from assay.plans.clock import NOW, Clock
 from assay.sources import fixed_values as fixed
 from assay.sources.specs import BY_NAME

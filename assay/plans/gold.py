@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from assay.operators import summaries
 from assay.operators.summaries import sum_flag
@@ -71,40 +72,47 @@ def percent(part: str, whole: str) -> Column:
     return F.round(F.try_divide(F.col(part), F.col(whole)) * 100, 2)
 
 
-def row_count(spark: SparkSession, table: DataFrame | None) -> DataFrame:
-    """One row ``n``; a table that does not exist counts 0."""
-    if table is None:
-        return spark.range(1).select(F.lit(0).cast("bigint").alias("n"))
-    return table.agg(F.count(F.lit(1)).alias("n"))
-
-
 def quality_counts(
-    spark: SparkSession, tables: Iterable[tuple[str, Mapping[str, DataFrame | None]]]
+    spark: SparkSession,
+    tables: Sequence[tuple[str, DataFrame | None, DataFrame | None]],
 ) -> DataFrame:
-    """Bronze, valid and rejected row counts per source, in the order given.
+    """Rows per source in (source, bronze, graded silver), in the order given.
 
-    Every table is counted on its own first, so only one row per table is shuffled however
-    unequal the sources are; nothing passes through the driver.
+    A table that does not exist is None and counts 0. One job counts everything: no data column
+    is read, and partial aggregation leaves one row per task and source to shuffle, however
+    unequal the sources are.
     """
-    layers = ("bronze_rows", "silver_valid_rows", "silver_rejected_rows")
-    counts = [
-        row_count(spark, layer_tables[layer]).select(
-            F.lit(position).alias("position"),
-            F.lit(source).alias("source_name"),
-            *[
-                (F.col("n") if name == layer else F.lit(0).cast("bigint")).alias(name)
-                for name in layers
-            ],
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    names = [source for source, _, _ in tables]
+    parts = [
+        spark.createDataFrame(list(enumerate(names)), "position INT, source_name STRING").select(
+            "position", zero.alias("bronze_rows"), zero.alias("silver_valid_rows"),
+            zero.alias("silver_rejected_rows"),
         )
-        for position, (source, layer_tables) in enumerate(tables)
-        for layer in layers
     ]
+    for position, (_, bronze, graded) in enumerate(tables):
+        here = F.lit(position).alias("position")
+        if bronze is not None:
+            parts.append(bronze.select(
+                here, one.alias("bronze_rows"), zero.alias("silver_valid_rows"),
+                zero.alias("silver_rejected_rows"),
+            ))
+        if graded is not None:
+            is_valid = F.col("_is_valid").cast("bigint")
+            parts.append(graded.select(
+                here, zero.alias("bronze_rows"), is_valid.alias("silver_valid_rows"),
+                (one - is_valid).alias("silver_rejected_rows"),
+            ))
+    layers = ("bronze_rows", "silver_valid_rows", "silver_rejected_rows")
     return (
-        reduce(DataFrame.unionByName, counts)
-        .groupBy("position", "source_name")
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("position")
         .agg(*[F.sum(name).alias(name) for name in layers])
         .orderBy("position")
-        .drop("position")
+        .select(
+            F.element_at(F.array(*map(F.lit, names)), F.col("position") + 1).alias("source_name"),
+            *layers,
+        )
     )
 
 
@@ -123,18 +131,17 @@ def dq_tables(
     bronze: str,
     silver: SilverTables,
     specs: Iterable[SourceSpec] = REPORTED,
-) -> list[tuple[str, dict[str, DataFrame | None]]]:
+) -> list[tuple[str, DataFrame | None, DataFrame | None]]:
     """The tables counted for each source; None where a path does not exist."""
-
-    def sides(spec: SourceSpec) -> dict[str, DataFrame | None]:
-        present = read_if_present(spark, silver.path(spec.name)) is not None
-        return {
-            "bronze_rows": read_if_present(spark, f"{bronze}/{spec.feed}"),
-            "silver_valid_rows": silver.valid(spec.name) if present else None,
-            "silver_rejected_rows": silver.rejected(spec.name) if present else None,
-        }
-
-    return [(spec.name, sides(spec)) for spec in specs]
+    flag = StructType.fromDDL("_is_valid BOOLEAN")
+    return [
+        (
+            spec.name,
+            read_if_present(spark, f"{bronze}/{spec.feed}", spec.schema),
+            read_if_present(spark, silver.path(spec.name), flag),
+        )
+        for spec in specs
+    ]
 
 
 def rejection_counts(silver: SilverTables, specs: Iterable[SourceSpec] = REPORTED) -> DataFrame:
@@ -153,35 +160,34 @@ def rejection_counts(silver: SilverTables, specs: Iterable[SourceSpec] = REPORTE
 
 
 def run_report(
+    spark: SparkSession,
     bronze: Mapping[str, DataFrame],
     silver: SilverTables,
-    specs: Iterable[SourceSpec] = REPORTED,
+    specs: Sequence[SourceSpec] = REPORTED,
 ) -> DataFrame:
     """Rows read, kept after dedup, valid, rejected, and valid rows with a future date."""
-    reports = []
-    for spec in specs:
-        read = bronze[spec.name].agg(F.count(F.lit(1)).alias("bronze_rows")).select(
-            F.lit(spec.name).alias("source_name"), "bronze_rows",
-            *[F.lit(0).cast("bigint").alias(name) for name in REPORT_SILVER],
-        )
-        kept = silver.graded(spec.name).agg(
-            F.count(F.lit(1)).alias("deduplicated_rows"),
-            F.count_if(F.col("_is_valid")).alias("valid_rows"),
-            F.count_if(~F.col("_is_valid")).alias("rejected_rows"),
-            F.count_if(F.col("_is_valid") & F.col(spec.warning.flag)).alias("future_date_rows"),
-        ).select(
-            F.lit(spec.name).alias("source_name"), F.lit(0).cast("bigint").alias("bronze_rows"),
-            *REPORT_SILVER,
+    tables = [(spec.name, bronze[spec.name], silver.graded(spec.name)) for spec in specs]
+    late = [
+        silver.valid(spec.name).where(F.col(spec.warning.flag)).select(
+            F.lit(spec.name).alias("source_name")
         )
-        reports += [read, kept]
-    return (
-        reduce(DataFrame.unionByName, reports)
+        for spec in specs
+    ]
+    warnings = (
+        reduce(DataFrame.unionByName, late)
         .groupBy("source_name")
-        .agg(*[F.sum(name).alias(name) for name in ("bronze_rows", *REPORT_SILVER)])
+        .agg(F.count(F.lit(1)).alias("future_date_rows"))
+    )
+    counts = quality_counts(spark, tables).select(
+        "source_name",
+        "bronze_rows",
+        (F.col("silver_valid_rows") + F.col("silver_rejected_rows")).alias("deduplicated_rows"),
+        F.col("silver_valid_rows").alias("valid_rows"),
+        F.col("silver_rejected_rows").alias("rejected_rows"),
+    )
+    return counts.join(warnings, on="source_name", how="left").withColumn(
+        "future_date_rows", F.coalesce("future_date_rows", F.lit(0))
     )
-
-
-REPORT_SILVER = ("deduplicated_rows", "valid_rows", "rejected_rows", "future_date_rows")
 
 
 def write_gold(

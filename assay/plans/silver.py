@@ -41,9 +41,14 @@ def latest(standardised: DataFrame, spec: SourceSpec) -> DataFrame:
 def with_parents(
     rows: DataFrame, spec: SourceSpec, parents: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Mark the rows whose parents are among the valid rows in ``parents``."""
+    """Mark the rows whose parents are in ``parents``, the valid side of silver tables.
+
+    Those hold each key once: they were reduced to one row per key and a NULL key is rejected.
+    """
     for parent in spec.parents:
-        rows = flag_existing(rows, parents[parent.table], parent.key, parent.flag)
+        rows = flag_existing(
+            rows, parents[parent.table], parent.key, parent.flag, parent_is_unique=True
+        )
     return rows
 
 

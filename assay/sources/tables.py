@@ -93,16 +93,25 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_present(
+    spark: SparkSession, path: str, schema: StructType | None = None
+) -> DataFrame | None:
     """The Parquet table at ``path``, None when there is no such path."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def count_rows(spark: SparkSession, path: str) -> int:
+    """Rows of the Parquet table at ``path``, from its footers; 0 when there is no such path."""
+    table = read_if_present(spark, path)
+    return 0 if table is None else table.count()
+
+
 def table_profile(tables: Iterable[tuple[str, DataFrame]]) -> DataFrame:
     """Schema and row count of several tables: one row per column, one job for all."""
     profiles = []

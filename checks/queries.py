@@ -13,7 +13,7 @@ from pyspark.sql.types import BooleanType, DateType, TimestampNTZType, Timestamp
 from assay.functions.hashing import chance, pick_number, pick_one, pick_weighted
 from assay.operators import faults, summaries
 from assay.operators.quality import rejected, valid
-from assay.operators.references import orphans
+from assay.operators.references import distinct_keys, orphans
 from assay.plans import bronze as bronze_plans
 from assay.plans import generate, gold, silver as silver_plans
 from assay.plans.clock import Clock
@@ -240,14 +240,7 @@ def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed feeds stand in for the bronze tables, row for row."""
     tables, feeds = _silver(spark, sf_dir), _feeds(spark, sf_dir, NAMES)
-    counted = [
-        (name, {
-            "bronze_rows": feeds[name],
-            "silver_valid_rows": tables.valid(name),
-            "silver_rejected_rows": tables.rejected(name),
-        })
-        for name in NAMES
-    ]
+    counted = [(name, feeds[name], tables.graded(name)) for name in NAMES]
     return comparable(gold.dq_summary(gold.quality_counts(spark, counted), DAY))
 
 
@@ -256,7 +249,7 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.run_report(_feeds(spark, sf_dir, NAMES), _silver(spark, sf_dir))
+    return gold.run_report(spark, _feeds(spark, sf_dir, NAMES), _silver(spark, sf_dir))
 
 
 # --- feed generation -------------------------------------------------------------------------
@@ -300,7 +293,7 @@ def gen_keys_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gen_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share of customers that buys."""
     orders = table(spark, sf_dir, "orders")
-    buyers = faults.distinct_keys(orders, "o_custkey")
+    buyers = distinct_keys(orders, "o_custkey")
     return faults.sample_keys(buyers, "o_custkey", "buyers", fixed.RATES["orders"]["customers"])
 
 

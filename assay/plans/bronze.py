@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -38,6 +38,32 @@ def log_run(spark: SparkSession, log_path: str, **record: object) -> None:
     spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(log_path)
 
 
+def logged(
+    spark: SparkSession, log_path: str, feed: str, batch_id: str, job: Callable[[], int]
+) -> int:
+    """Run ``job``, which returns the rows it moved, and log how it went.
+
+    A failure is logged with zero rows and raised again, so later feeds do not run on a broken
+    landing zone.
+    """
+    start_time, started = datetime.now(), time.monotonic()
+    rows, failure = 0, None
+    try:
+        rows = job()
+    except Exception as error:
+        failure = error
+    log_run(
+        spark, log_path, run_id=str(uuid.uuid4()), source_name=feed, batch_id=batch_id,
+        rows_read=rows, rows_written=rows, start_time=start_time, end_time=datetime.now(),
+        duration_seconds=round(time.monotonic() - started, 2),
+        status="FAILED" if failure else "SUCCESS",
+        error_message=str(failure) if failure else None,
+    )
+    if failure:
+        raise failure
+    return rows
+
+
 def ingest(
     spark: SparkSession,
     spec: SourceSpec,
@@ -47,33 +73,20 @@ def ingest(
     clock: Clock = NOW,
     batch_id: str | None = None,
 ) -> int:
-    """Append every landed row of one feed to bronze and log the run.
+    """Append every landed row of one feed to bronze, log the run, return the row count.
 
-    One scan: the row counts are observed while the rows are written. A failure is logged with
-    zero rows and raised again, so later feeds do not run on a broken landing zone.
+    The feed is scanned once: its rows are counted by an observation while they are written.
     """
-    run_id, batch_id = str(uuid.uuid4()), batch_id or str(uuid.uuid4())
-    start_time, started = datetime.now(), time.monotonic()
-
-    def finish(status: str, rows: int, error: str | None = None) -> None:
-        log_run(
-            spark, log_path, run_id=run_id, source_name=spec.feed, batch_id=batch_id,
-            rows_read=rows, rows_written=rows, start_time=start_time, end_time=datetime.now(),
-            duration_seconds=round(time.monotonic() - started, 2), status=status,
-            error_message=error,
-        )
+    batch_id = batch_id or str(uuid.uuid4())
 
-    try:
-        seen = Observation(f"ingest {spec.feed} {run_id}")
+    def append() -> int:
+        seen = Observation()
         feed = read_feed(spark, landing, spec.feed, spec.schema)
         rows = with_audit(feed, batch_id, clock).observe(seen, F.count(F.lit(1)).alias("rows"))
         rows.write.mode("append").parquet(f"{bronze}/{spec.feed}")
-        written = seen.get["rows"]
-    except Exception as error:
-        finish("FAILED", 0, str(error))
-        raise
-    finish("SUCCESS", written)
-    return written
+        return seen.get["rows"]
+
+    return logged(spark, log_path, spec.feed, batch_id, append)
 
 
 def ingest_all(

@@ -52,7 +52,7 @@ class SourceSpec:
 
     @property
     def columns(self) -> list[str]:
-        return self.schema.fieldNames()
+        return [column.split()[0] for column in self.schema_ddl.split(",")]
 
     @property
     def rejected_name(self) -> str:

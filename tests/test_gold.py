@@ -1,0 +1,133 @@
+"""Gold tables on small hand-made silver rows, and edge cases of the summaries."""
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from assay.operators import summaries
+from assay.plans import gold
+from assay.plans.clock import Clock
+from assay.plans.medallion import Layout
+from assay.plans.silver import SilverTables, refine_all
+from checks.queries import CLOCKS, NAMES
+from checks.feeds import landing_feed
+
+DAY = Clock(date(2024, 1, 10))
+D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
+
+
+def silver_rows(spark):
+    return {
+        "customers": spark.createDataFrame(
+            [("C1", "a", "b", "e", "male", "active", D1), ("C2", "a", "b", "e", None, "blocked", D1)],
+            "customer_id STRING, first_name STRING, last_name STRING, email STRING, "
+            "gender STRING, status STRING, signup_date DATE",
+        ),
+        "addresses": spark.createDataFrame(
+            [("A1", "C1", "NSW", "2000", "au", "true", D1), ("A2", "C1", "VIC", "3000", "au", "true", D2),
+             ("A3", "C1", "QLD", "4000", "au", "true", None), ("A4", "C2", "WA", "6000", "au", "false", D2)],
+            "address_id STRING, customer_id STRING, state STRING, postcode STRING, "
+            "country STRING, is_primary STRING, updated_at DATE",
+        ),
+        "orders": spark.createDataFrame(
+            [("O1", "C1", "PAID", 10.5, D1), ("O2", "C1", "CANCELLED", 99.0, D2),
+             ("O3", "C1", None, 7.0, None), ("O4", "C1", "SHIPPED", None, D1)],
+            "order_id STRING, customer_id STRING, order_status STRING, order_amount DOUBLE, "
+            "order_date DATE",
+        ),
+        "payments": spark.createDataFrame(
+            [("P1", "C1", "SUCCESS", 5.0, D1), ("P2", "C1", "FAILED", 6.0, D2)],
+            "payment_id STRING, customer_id STRING, payment_status STRING, "
+            "payment_amount DOUBLE, payment_date DATE",
+        ),
+        "support_tickets": spark.createDataFrame(
+            [("T1", "C1", "OPEN", D1), ("T2", "C1", "IN_PROGRESS", D2), ("T3", "C1", "CLOSED", D1)],
+            "ticket_id STRING, customer_id STRING, ticket_status STRING, ticket_created_at DATE",
+        ),
+        "loyalty_accounts": spark.createDataFrame(
+            [("L1", "C1", "GOLD", 5, "ACTIVE", D1), ("L2", "C1", "SILVER", 7, "ACTIVE", D1)],
+            "loyalty_account_id STRING, customer_id STRING, tier STRING, points_balance INT, "
+            "loyalty_status STRING, updated_at DATE",
+        ),
+    }
+
+
+def test_snapshot_values(spark):
+    snapshot = gold.customer_snapshot(silver_rows(spark), DAY)
+    rows = {r["customer_id"]: r.asDict() for r in snapshot.collect()}
+    one, two = rows["C1"], rows["C2"]
+    assert (one["state"], one["postcode"]) == ("VIC", "3000")
+    assert (one["total_orders"], one["total_revenue"], one["last_order_date"]) == (4, 10.5, D2)
+    assert (one["successful_payment_count"], one["successful_payment_amount"]) == (1, 5.0)
+    assert one["last_payment_date"] == D2
+    assert (one["support_ticket_count"], one["open_ticket_count"]) == (3, 2)
+    assert (one["loyalty_tier"], one["points_balance"]) == ("SILVER", 7)
+    assert (two["total_orders"], two["total_revenue"], two["points_balance"]) == (0, 0.0, 0)
+    for name in ("state", "last_order_date", "loyalty_tier", "loyalty_status"):
+        assert two[name] is None
+    assert snapshot.columns == (
+        "customer_id first_name last_name email gender status signup_date state postcode country "
+        "total_orders total_revenue last_order_date successful_payment_count "
+        "successful_payment_amount last_payment_date support_ticket_count open_ticket_count "
+        "last_support_ticket_date loyalty_tier points_balance loyalty_status _gold_processed_at"
+    ).split()
+
+
+def test_kpis(spark):
+    snapshot = gold.customer_snapshot(silver_rows(spark), DAY)
+    row = gold.kpi_summary(snapshot, DAY).drop("_gold_processed_at").first()
+    assert tuple(row) == (2, 1, 1, 1, 10.5, 5.25, 1, 7, 1, 2)
+
+
+def test_kpis_over_nothing(spark):
+    snapshot = gold.customer_snapshot(silver_rows(spark), DAY).limit(0)
+    row = gold.kpi_summary(snapshot, DAY).drop("_gold_processed_at").first()
+    assert tuple(row) == (0,) + (None,) * 9
+
+
+def test_revenue_of_only_unknown_amounts_is_zero_in_the_snapshot(spark):
+    rows = silver_rows(spark)
+    rows["orders"] = rows["orders"].where("order_id = 'O4'")
+    assert summaries.order_summary(rows["orders"]).first()["total_revenue"] is None
+    snapshot = gold.customer_snapshot(rows, DAY).where("customer_id = 'C1'").first()
+    assert (snapshot["total_orders"], snapshot["total_revenue"]) == (1, 0.0)
+
+
+def test_quality_of_missing_and_empty_tables(spark):
+    bronze = spark.range(8)
+    graded = spark.createDataFrame([(True,)] * 6 + [(False,)], "_is_valid BOOLEAN")
+    counts = gold.quality_counts(
+        spark, [("a", bronze, graded), ("b", None, None), ("c", bronze.limit(0), graded)]
+    )
+    rows = gold.dq_summary(counts, DAY).drop("_gold_processed_at").collect()
+    assert [tuple(row) for row in rows] == [
+        ("a", 8, 6, 1, 7, 14.29), ("b", 0, 0, 0, 0, None), ("c", 0, 6, 1, 7, 14.29),
+    ]
+
+
+def test_written_gold_matches_the_answer_key(spark, folder):
+    """Known counts at the second scale: in, deduplicated, valid, rejected, rate."""
+    sf_dir, layout = "/root/testdata/sf0.01", Layout(folder)
+    feeds = {name: landing_feed(spark, sf_dir, name) for name in NAMES}
+    for name, feed in feeds.items():
+        bronze_name = {"customers": "crm_customers", "addresses": "crm_addresses"}.get(name, name)
+        feed.write.parquet(f"{layout.bronze}/{bronze_name}")
+    tables = refine_all(feeds, SilverTables(spark, layout.silver), CLOCKS)
+    gold.write_gold(spark, layout.bronze, tables, layout.gold, DAY)
+
+    quality = spark.read.parquet(f"{layout.gold}/dq_summary").collect()
+    assert {r["source_name"]: tuple(r)[1:6] for r in quality} == {
+        "customers": (1530, 1453, 42, 1495, 2.81),
+        "addresses": (1515, 1389, 101, 1490, 6.78),
+        "orders": (15300, 14096, 875, 14971, 5.84),
+        "payments": (60000, 42584, 3203, 45787, 7.0),
+        "support_tickets": (10100, 9421, 560, 9981, 5.61),
+        "loyalty_accounts": (840, 701, 120, 821, 14.62),
+    }
+    kpis = spark.read.parquet(f"{layout.gold}/kpi_summary").first()
+    assert tuple(kpis)[:4] == (1453, 375, 375, 1453)
+    assert round(kpis["total_revenue"], 2) == 1714202816.49
+    assert round(kpis["avg_customer_revenue"], 2) == 1179767.94
+    assert tuple(kpis)[6:10] == (701, 3505548, 145, 4701)
+    assert gold.rejection_counts(tables).agg(F.sum("rejected_rows")).first()[0] == 4901
+    assert spark.read.parquet(f"{layout.gold}/customer_snapshot").count() == 1453

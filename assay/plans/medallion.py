@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from assay.plans.bronze import ingest_all
 from assay.plans.clock import NOW, Clock
 from assay.plans.gold import write_gold
 from assay.plans.silver import SilverTables, refine_all
-from assay.sources.specs import SOURCES
+from assay.sources.specs import BY_NAME
+
+ALL = tuple(BY_NAME)
 
 
 @dataclass(frozen=True)
@@ -35,16 +38,28 @@ class Layout:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def checkpoints(self) -> str:
+        return f"{self.root}/metadata/stream_checkpoints"
+
     @property
     def ingestion_log(self) -> str:
         return f"{self.root}/metadata/ingestion_log"
 
 
-def refine_bronze(spark: SparkSession, layout: Layout, clock: Clock = NOW) -> SilverTables:
-    """Silver tables from the bronze tables of a layout."""
-    bronze = {spec.name: spark.read.parquet(f"{layout.bronze}/{spec.feed}") for spec in SOURCES}
-    clocks = {spec.name: clock for spec in SOURCES}
-    return refine_all(bronze, SilverTables(spark, layout.silver), clocks)
+def bronze_tables(
+    spark: SparkSession, layout: Layout, names: Iterable[str]
+) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{layout.bronze}/{BY_NAME[name].feed}") for name in names}
+
+
+def refine_bronze(
+    spark: SparkSession, layout: Layout, clock: Clock = NOW, names: Sequence[str] = ALL
+) -> SilverTables:
+    """Silver tables from bronze tables; parents left out of ``names`` must be written already."""
+    clocks = {name: clock for name in names}
+    tables = SilverTables(spark, layout.silver)
+    return refine_all(bronze_tables(spark, layout, names), tables, clocks)
 
 
 def run(spark: SparkSession, layout: Layout, clock: Clock = NOW) -> None:

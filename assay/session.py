@@ -11,6 +11,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Splits a reduce partition that one hot key made large, on the many-rows side of a join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

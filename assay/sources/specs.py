@@ -54,10 +54,6 @@ class SourceSpec:
     def columns(self) -> list[str]:
         return [column.split()[0] for column in self.schema_ddl.split(",")]
 
-    @property
-    def rejected_name(self) -> str:
-        return f"rejected_{self.name}"
-
 
 def _cleaning(**groups: tuple[Callable[[str], Column], str]) -> Mapping[str, Callable]:
     return MappingProxyType(

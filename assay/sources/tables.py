@@ -68,9 +68,15 @@ def write_graded(graded: DataFrame, path: str) -> None:
     """Write valid and rejected rows in one pass and one commit, as two partitions.
 
     The rows are computed once, and a crash cannot leave a new valid side next to an old
-    rejected side.
+    rejected side. A run without rejects removes the old rejects, whatever the session's
+    partition overwrite mode is.
     """
-    graded.write.mode("overwrite").partitionBy("_is_valid").parquet(path)
+    (
+        graded.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("_is_valid")
+        .parquet(path)
+    )
 
 
 def read_graded(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -44,12 +44,17 @@ def with_parents(
     """Mark the rows whose parents are in ``parents``, the valid side of silver tables.
 
     Those hold each key once: they were reduced to one row per key and a NULL key is rejected.
+    The customer is joined last. When that join is a shuffled one, the table is then written with
+    the rows of a customer together, and the per-customer summaries shrink before their shuffle.
     """
-    for parent in spec.parents:
+    keys = [parent.key for parent in reversed(spec.parents)]
+    rest = [name for name in rows.columns if name not in keys]
+    flags = [parent.flag for parent in spec.parents]
+    for parent in reversed(spec.parents):
         rows = flag_existing(
             rows, parents[parent.table], parent.key, parent.flag, parent_is_unique=True
         )
-    return rows
+    return rows.select(*keys, *rest, *flags)
 
 
 def with_warning(rows: DataFrame, spec: SourceSpec, clock: Clock = NOW) -> DataFrame:

@@ -68,6 +68,47 @@ def test_hot_parent_is_split_and_rows_stay_whole(
     assert (found["n"], found["found"]) == (ROWS, hot_rows + spread)
 
 
+def test_hot_customer_and_hot_order_of_payments_are_both_split(
+    spark, no_broadcast, small_skew_threshold, plan_of
+):
+    spec, number = BY_NAME["payments"], F.col("id")
+    text = {
+        "payment_id": F.concat(F.lit("PAY"), number),
+        "order_id": F.when(number % 3 == 0, "ORD1").otherwise(F.concat(F.lit("ORD"), number % 900)),
+        "customer_id": F.when(number % 3 == 1, "CRM1").otherwise(
+            F.concat(F.lit("CRM"), number % 700)
+        ),
+        "payment_date": F.lit("2024-01-01"),
+        "payment_status": F.lit(" success"),
+        "payment_method": F.lit("card"),
+        "payment_amount": number + 0.5,
+        "created_at": F.sha2(number.cast("string"), 256),
+        "source_system": F.sha2((-number).cast("string"), 256),
+    }
+    bronze = spark.range(0, ROWS, 1, 8).select(*[
+        text.get(c.name, F.lit(None)).cast(c.dataType).alias(c.name) for c in spec.schema
+    ])
+    root = new_run_root(spark, "parents")
+    ids = spark.range(0, 600)
+    parents = {
+        "customers": written(
+            ids.select(F.concat(F.lit("CRM"), "id").alias("customer_id")), f"{root}/customers"
+        ),
+        "orders": written(
+            ids.select(F.concat(F.lit("ORD"), "id").alias("order_id")), f"{root}/orders"
+        ),
+    }
+    graded = silver.refine(bronze, spec, parents, Clock())
+    plan = plan_of(graded, final=True)
+    plan = plan[:plan.index("Initial Plan")]
+    assert plan.count("SortMergeJoin(skew=true)") == 2
+    assert graded.count() == ROWS
+
+    both = "(id % 3 = 0 OR id % 900 < 600) AND (id % 3 = 1 OR id % 700 < 600)"
+    valid = spark.range(0, ROWS).where(both).count()
+    assert graded.where("_is_valid").count() == valid
+
+
 def test_repeated_parents_do_not_repeat_children(spark):
     children = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "child INT, k STRING")
     parents = spark.createDataFrame([("a",), ("a",), (None,)], "k STRING")

@@ -11,7 +11,10 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Join by hash instead of sorting both sides when every partition of one side is measured
+    # to be this small; sort-merge otherwise. Must not be below the advisory partition size.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # Splits a reduce partition that one hot key made large, on the many-rows side of a join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

@@ -64,6 +64,25 @@ def test_job_is_required():
         arguments(["--root", "x"])
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://somewhere:7077"
+
+            @staticmethod
+            def getConf():
+                return Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Session())
+
+
 def test_run_folders_are_below_the_shared_folder(spark):
     root = shared_root(spark)
     named = spark.conf.get(CHECKPOINT_SETTING, None)

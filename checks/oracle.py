@@ -379,6 +379,17 @@ def bronze_table(name: str) -> str:
         sha256(concat_ws('||', {texts})) AS _record_hash FROM ({landing_sql(name)})"""
 
 
+def incremental() -> str:
+    columns = COLUMNS["customers"].split()
+    texts = ", ".join(f"CAST({c} AS VARCHAR)" for c in columns)
+    head = f"""SELECT {', '.join(columns)}, sha256(concat_ws('||', {texts})) AS _record_hash"""
+    rows = f"FROM ({landing_sql('customers')})"
+    return union([
+        f"{head}, 'first' AS _batch_id {rows}",
+        f"{head}, 'second' AS _batch_id {rows} WHERE updated_at >= '1998-01-01'",
+    ])
+
+
 def profile(name: str) -> str:
     columns = [(c, TYPES.get(c, "string")) for c in COLUMNS[name].split()] + AUDIT
     count = f"(SELECT count(*) FROM ({landing_sql(name)}))"
@@ -403,6 +414,7 @@ def bronze_queries() -> dict[str, str]:
         **{f"bronze_{name}": bronze_table(name) for name in NAMES},
         "bronze_latest_drop": f"""SELECT * FROM ({landing_sql('customers')})
             WHERE updated_at >= '1998-01-01'""",
+        "bronze_incremental": incremental(),
         "bronze_ingest_log": union([logged(name) for name in NAMES]),
         "bronze_ingest_failure": union([logged("customers"), failed]),
         "bronze_inspect": union([profile("customers"), profile("orders")]),

@@ -22,6 +22,7 @@ from assay.session import new_run_root, written
 from assay.sources import fixed_values as fixed
 from assay.sources.specs import BY_NAME, CUSTOMERS, ORDERS, SOURCES, SourceSpec
 from assay.sources.tables import preview, read_latest_drop, write_drop
+from assay.streaming.ingest import ingest_new
 from checks.feeds import landing_feed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +83,21 @@ def bronze_latest_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest_drop(spark, landing, CUSTOMERS.feed, CUSTOMERS.schema)
 
 
+def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops, ingested one after the other and then once more: every file is read once."""
+    root = new_run_root(spark, "landing")
+    places = (f"{root}/landing", f"{root}/bronze", f"{root}/checkpoints", f"{root}/log")
+    feed = landing_feed(spark, sf_dir, "customers")
+    write_drop(feed, places[0], CUSTOMERS.feed, DROP_STAMP)
+    ingest_new(spark, CUSTOMERS, *places, DAY, batch_id="first")
+    updates = feed.where(F.col("updated_at") >= UPDATES_SINCE)
+    write_drop(updates, places[0], CUSTOMERS.feed, datetime(2001, 6, 2))
+    ingest_new(spark, CUSTOMERS, *places, DAY, batch_id="second")
+    ingest_new(spark, CUSTOMERS, *places, DAY, batch_id="third")
+    rows = spark.read.parquet(f"{root}/bronze/{CUSTOMERS.feed}")
+    return rows.select(*CUSTOMERS.columns, "_batch_id", "_record_hash")
+
+
 def _log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(
         "source_name", "rows_read", "rows_written", "status",
@@ -391,6 +407,7 @@ def all_queries() -> dict[str, Query]:
         **_per_table("feed", landing_feed, NAMES),
         **_per_table("bronze", bronze_table, NAMES),
         "bronze_latest_drop": bronze_latest_drop,
+        "bronze_incremental": bronze_incremental,
         "bronze_ingest_log": bronze_ingest_log,
         "bronze_ingest_failure": bronze_ingest_failure,
         "bronze_inspect": bronze_inspect,

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,13 +21,21 @@ AUDIT_COLUMNS = ("_ingestion_timestamp", "_source_file", "_batch_id", "_record_h
 
 
 def with_audit(feed: DataFrame, batch_id: str, clock: Clock = NOW) -> DataFrame:
+    """Audit columns of rows read from files."""
+    return with_audit_columns(feed, F.col("_metadata.file_path"), batch_id, clock)
+
+
+def with_audit_columns(
+    rows: DataFrame, source_file: Column | None = None, batch_id: str = "", clock: Clock = NOW
+) -> DataFrame:
     """Add ingestion time, source file, batch and a hash over all business columns."""
-    return feed.select(
+    source_file = F.lit(None).cast("string") if source_file is None else source_file
+    return rows.select(
         "*",
         clock.now().alias("_ingestion_timestamp"),
-        F.col("_metadata.file_path").alias("_source_file"),
+        source_file.alias("_source_file"),
         F.lit(batch_id).alias("_batch_id"),
-        record_hash(feed.columns).alias("_record_hash"),
+        record_hash(rows.columns).alias("_record_hash"),
     )
 
 

@@ -108,7 +108,8 @@ def quality_counts(
         reduce(DataFrame.unionByName, parts)
         .groupBy("position")
         .agg(*[F.sum(name).alias(name) for name in layers])
-        .orderBy("position")
+        .coalesce(1)  # one row per source
+        .sortWithinPartitions("position")
         .select(
             F.element_at(F.array(*map(F.lit, names)), F.col("position") + 1).alias("source_name"),
             *layers,

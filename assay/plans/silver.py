@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,10 +13,10 @@ from pyspark.sql.types import StructType
 from assay.operators.dedup import latest_per_key
 from assay.operators.quality import any_later_than, grade
 from assay.operators.references import flag_existing
-from assay.plans.bronze import AUDIT_COLUMNS
+from assay.plans.bronze import AUDIT_COLUMNS, with_audit_columns
 from assay.plans.clock import NOW, Clock
 from assay.sources.specs import (
-    ADDRESSES, CUSTOMERS, LOYALTY_ACCOUNTS, ORDERS, PAYMENTS, SUPPORT_TICKETS, SourceSpec,
+    ADDRESSES, BY_NAME, CUSTOMERS, LOYALTY_ACCOUNTS, ORDERS, PAYMENTS, SUPPORT_TICKETS, SourceSpec,
 )
 from assay.sources.tables import read_graded, read_rejected, read_valid, write_graded
 
@@ -102,18 +103,32 @@ class SilverTables:
 
     def _schema(self, name: str) -> StructType:
         if name not in self._schemas:
-            self._schemas[name] = graded_schema(self.spark, self.path(name))
+            self._schemas[name] = graded_schema(self.spark, self.path(name), BY_NAME[name])
         return self._schemas[name]
 
 
-def graded_schema(spark: SparkSession, path: str) -> StructType:
+def graded_schema(spark: SparkSession, path: str, spec: SourceSpec) -> StructType:
     """Schema of a written silver table with the partition column put back in its place."""
-    stored = spark.read.parquet(path)
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return planned_schema(spark, spec)
+        raise
     names = [name for name in stored.columns if name != "_is_valid"]
     names.insert(names.index("_rejection_reason"), "_is_valid")
     return stored.withColumn("_is_valid", F.col("_is_valid").cast("boolean")).select(*names).schema
 
 
+def planned_schema(spark: SparkSession, spec: SourceSpec) -> StructType:
+    """Schema that refining gives; a table without rows has no file to read it from."""
+    bronze = with_audit_columns(spark.createDataFrame([], spec.schema))
+    parents = {
+        parent.table: spark.createDataFrame([], f"{parent.key} STRING") for parent in spec.parents
+    }
+    return refine(bronze, spec, parents).schema
+
+
 def refine_table(
     bronze: DataFrame, spec: SourceSpec, silver: SilverTables, clock: Clock = NOW
 ) -> None:

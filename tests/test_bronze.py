@@ -29,7 +29,7 @@ def customers(spark, *keys):
 def write_csv(folder, feed, name, *lines):
     target = Path(folder, "landing", feed)
     target.mkdir(parents=True, exist_ok=True)
-    (target / name).write_text("\n".join(lines) + "\n")
+    (target / name).write_text("".join(f"{line}\n" for line in lines))
 
 
 def log_of(spark, folder):
@@ -86,6 +86,15 @@ def test_ingest_appends_with_audit_columns_and_logs(spark, folder):
     assert first["end_time"] >= first["start_time"] and first["duration_seconds"] >= 0
 
 
+@pytest.mark.parametrize("lines", [(HEADER,), ()])
+def test_feed_without_rows_is_a_success(spark, folder, lines):
+    write_csv(folder, "orders", "orders_1.csv", *lines)
+    places = (f"{folder}/landing", f"{folder}/bronze", f"{folder}/log")
+    assert ingest(spark, ORDERS, *places) == 0
+    (row,) = log_of(spark, folder)
+    assert (row["status"], row["rows_read"], row["rows_written"]) == ("SUCCESS", 0, 0)
+
+
 def test_failure_is_logged_and_stops_the_run(spark, folder):
     write_drop(customers(spark, "C1", "C2"), f"{folder}/landing", CUSTOMERS.feed, FIRST)
     with pytest.raises(AnalysisException):

@@ -51,6 +51,30 @@ def test_ingesting_again_inflates_bronze_but_not_silver(spark, folder):
         assert after[name]["silver_rejected_rows"] == row["silver_rejected_rows"]
 
 
+def test_a_feed_without_rows_still_gives_gold(spark, folder):
+    call(spark, folder, "generate", "--customers", "50")
+    call(spark, folder, "ingest")
+    bronze = spark.read.parquet(f"{folder}/bronze/support_tickets")
+    bronze.limit(0).write.mode("overwrite").parquet(f"{folder}/none")
+    spark.read.parquet(f"{folder}/none").write.mode("overwrite").parquet(
+        f"{folder}/bronze/support_tickets"
+    )
+    call(spark, folder, "refine")
+    call(spark, folder, "summarise")
+    tables = SilverTables(spark, f"{folder}/silver")
+    empty, filled = tables.graded("support_tickets"), tables.graded("loyalty_accounts")
+    assert empty.count() == 0 and filled.count() > 0
+    assert empty.columns[:2] == ["customer_id", "ticket_id"]
+    assert empty.columns[-4:] == [
+        "customer_exists", "_has_future_ticket_date", "_is_valid", "_rejection_reason",
+    ]
+    kpis = spark.read.parquet(f"{folder}/gold/kpi_summary").first()
+    assert kpis["open_support_tickets"] == 0 and kpis["customers_with_support_tickets"] == 0
+    quality = spark.read.parquet(f"{folder}/gold/dq_summary")
+    row = quality.where("source_name = 'support_tickets'").first()
+    assert tuple(row)[1:6] == (0, 0, 0, 0, None)
+
+
 def test_new_files_only(spark, folder):
     call(spark, folder, "generate", "--customers", "50")
     call(spark, folder, "ingest", "--new-files-only")

@@ -82,28 +82,23 @@ def quality_counts(
     is read, and partial aggregation leaves one row per task and source to shuffle, however
     unequal the sources are.
     """
-    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    layers = ("bronze_rows", "silver_valid_rows", "silver_rejected_rows")
+    one, is_valid = F.lit(1).cast("bigint"), F.col("_is_valid").cast("bigint")
     names = [source for source, _, _ in tables]
-    parts = [
-        spark.createDataFrame(list(enumerate(names)), "position INT, source_name STRING").select(
-            "position", zero.alias("bronze_rows"), zero.alias("silver_valid_rows"),
-            zero.alias("silver_rejected_rows"),
-        )
-    ]
+
+    def counted(rows: DataFrame, position: Column, *numbers: Column | None) -> DataFrame:
+        return rows.select(position.alias("position"), *[
+            (F.lit(0).cast("bigint") if number is None else number).alias(layer)
+            for layer, number in zip(layers, numbers)
+        ])
+
+    sources = spark.createDataFrame([(position,) for position in range(len(names))], "p INT")
+    parts = [counted(sources, F.col("p"), None, None, None)]
     for position, (_, bronze, graded) in enumerate(tables):
-        here = F.lit(position).alias("position")
         if bronze is not None:
-            parts.append(bronze.select(
-                here, one.alias("bronze_rows"), zero.alias("silver_valid_rows"),
-                zero.alias("silver_rejected_rows"),
-            ))
+            parts.append(counted(bronze, F.lit(position), one, None, None))
         if graded is not None:
-            is_valid = F.col("_is_valid").cast("bigint")
-            parts.append(graded.select(
-                here, zero.alias("bronze_rows"), is_valid.alias("silver_valid_rows"),
-                (one - is_valid).alias("silver_rejected_rows"),
-            ))
-    layers = ("bronze_rows", "silver_valid_rows", "silver_rejected_rows")
+            parts.append(counted(graded, F.lit(position), None, is_valid, one - is_valid))
     return (
         reduce(DataFrame.unionByName, parts)
         .groupBy("position")

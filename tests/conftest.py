@@ -18,7 +18,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     session = build_session(
         "tests", "local[*]",
-        spark_sql_shuffle_partitions="8", spark_ui_enabled="false", spark_driver_memory="8g",
+        spark_sql_shuffle_partitions="4", spark_ui_enabled="false", spark_driver_memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

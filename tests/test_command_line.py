@@ -11,6 +11,11 @@ def call(spark, folder, *words):
     execute(spark, arguments(["--root", folder, "--as-of", "2024-01-25", *words]))
 
 
+def quality_of(spark, folder):
+    rows = spark.read.parquet(f"{folder}/gold/dq_summary").collect()
+    return {row["source_name"]: row for row in rows}
+
+
 def test_jobs_in_sequence(spark, folder, capsys):
     call(spark, folder, "generate", "--customers", "200")
     call(spark, folder, "ingest")
@@ -42,9 +47,9 @@ def test_jobs_in_sequence(spark, folder, capsys):
 def test_ingesting_again_inflates_bronze_but_not_silver(spark, folder):
     call(spark, folder, "generate", "--customers", "50")
     call(spark, folder, "run")
-    before = {r["source_name"]: r for r in spark.read.parquet(f"{folder}/gold/dq_summary").collect()}
+    before = quality_of(spark, folder)
     call(spark, folder, "run")
-    after = {r["source_name"]: r for r in spark.read.parquet(f"{folder}/gold/dq_summary").collect()}
+    after = quality_of(spark, folder)
     for name, row in before.items():
         assert after[name]["bronze_rows"] == 2 * row["bronze_rows"]
         assert after[name]["silver_valid_rows"] == row["silver_valid_rows"]

@@ -19,13 +19,16 @@ D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
 def silver_rows(spark):
     return {
         "customers": spark.createDataFrame(
-            [("C1", "a", "b", "e", "male", "active", D1), ("C2", "a", "b", "e", None, "blocked", D1)],
+            [("C1", "a", "b", "e", "male", "active", D1),
+             ("C2", "a", "b", "e", None, "blocked", D1)],
             "customer_id STRING, first_name STRING, last_name STRING, email STRING, "
             "gender STRING, status STRING, signup_date DATE",
         ),
         "addresses": spark.createDataFrame(
-            [("A1", "C1", "NSW", "2000", "au", "true", D1), ("A2", "C1", "VIC", "3000", "au", "true", D2),
-             ("A3", "C1", "QLD", "4000", "au", "true", None), ("A4", "C2", "WA", "6000", "au", "false", D2)],
+            [("A1", "C1", "NSW", "2000", "au", "true", D1),
+             ("A2", "C1", "VIC", "3000", "au", "true", D2),
+             ("A3", "C1", "QLD", "4000", "au", "true", None),
+             ("A4", "C2", "WA", "6000", "au", "false", D2)],
             "address_id STRING, customer_id STRING, state STRING, postcode STRING, "
             "country STRING, is_primary STRING, updated_at DATE",
         ),

@@ -11,11 +11,12 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from assay.plans.bronze import logged, with_audit
 from assay.plans.clock import NOW, Clock
 from assay.sources.specs import SourceSpec
-from assay.sources.tables import feed_glob
+from assay.sources.tables import feed_glob, read_if_present
 
 
 def ingest_new(
@@ -32,8 +33,11 @@ def ingest_new(
     """Append the rows of files not seen before, log the run, and return the number of rows.
 
     ``files_per_batch`` bounds one micro-batch; all new files are read before the call returns.
+    A given ``batch_id`` must be new: the rows written are counted by it, from what was committed,
+    as the progress of a long run is not kept whole.
     """
     batch_id = batch_id or str(uuid.uuid4())
+    target = f"{bronze}/{spec.feed}"
 
     def append() -> int:
         feed = (
@@ -42,15 +46,16 @@ def ingest_new(
             .schema(spec.schema)
             .csv(feed_glob(landing, spec.feed))
         )
+        rows = with_audit(feed, batch_id, clock)
         query = (
-            with_audit(feed, batch_id, clock)
-            .writeStream.format("parquet")
-            .option("path", f"{bronze}/{spec.feed}")
+            rows.writeStream.format("parquet")
+            .option("path", target)
             .option("checkpointLocation", f"{checkpoints}/{spec.feed}")
             .trigger(availableNow=True)
             .start()
         )
         query.awaitTermination()
-        return sum(progress["numInputRows"] for progress in query.recentProgress)
+        table = read_if_present(spark, target, rows.schema)
+        return 0 if table is None else table.where(F.col("_batch_id") == batch_id).count()
 
     return logged(spark, log_path, spec.feed, batch_id, append)

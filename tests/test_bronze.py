@@ -157,6 +157,18 @@ def test_stream_reads_each_file_once(spark, folder):
     assert [r["rows_written"] for r in log_of(spark, folder)] == [2, 0, 1]
 
 
+def test_stream_counts_all_its_micro_batches(spark, folder):
+    lines = [HEADER, "O1,C1,d,PAID,1.5,AUD,WEB,x,y,z"]
+    for number in range(5):
+        write_csv(folder, "orders", f"orders_{number}.csv", *lines)
+    places = (f"{folder}/landing", f"{folder}/bronze", f"{folder}/checkpoints", f"{folder}/log")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        assert ingest_new(spark, ORDERS, *places, files_per_batch=1) == 5
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
 def test_stream_and_batch_agree(spark, folder):
     spec = BY_NAME["customers"]
     write_drop(customers(spark, "C1", "C2", "C3"), f"{folder}/landing", spec.feed, FIRST)

@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from checks.oracle import all_sql
 from checks.compare import connect, differences
+from checks.queries import all_queries
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = all_queries()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")

@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.llm import fixed_values
 from assay.llm.ann import search_neighbours
+from assay.llm.line_dedup import dedup_lines
+from assay.llm.mixing import mix_sources
+from assay.llm.ngram_join import near_duplicates
+from assay.llm.packing import pack_documents
 from assay.llm.shared import ship_package
+from assay.llm.token_scan import count_tokens, write_token_files
 from assay.llm.topk import exact_top_k
+from assay.llm.toxicity import score_toxicity
 from assay.llm.url_filter import judge_urls
+from assay.llm.warc import read_archives, write_archives
+from assay.session import new_run_root
 
 # Where the labelled URLs of a site lie: with and without a subdomain, in any language's folder.
 SUBDOMAINS = ("", "www.", "blog.", "m.")
@@ -19,17 +28,58 @@ FOLDERS = ("/en/", "/de/", "/fr/", "/es/", "/")
 DOMAINS = ("example.com", "example.net", "example.org")
 
 
+def tokenizer_file() -> str:
+    """Vocabulary file of the public byte-level tokenizer, outside this repository."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), max_passes=2.0).select(
+        "doc_id", "source", "mix_pass", "mix_block", "mix_tokens", "mix_position"
+    )
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "removed_lines"
+    )
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_neighbours(
         table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), predict_from=0.3
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, by scanning flat token files written from ``documents``."""
+    listed = write_token_files(
+        table(spark, sf_dir, "documents"), new_run_root(spark, "tokens"), tokenizer_file()
+    )
+    counted = count_tokens(listed.where("ordinal IS NULL"))
+    names = listed.where("ordinal IS NOT NULL").select("file", "ordinal", "doc_id")
+    return counted.join(names, ["file", "ordinal"]).select("doc_id", "tokens", "ordinal", "start")
+
+
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The small labelled URL table: every site below every domain, with subdomains and folders
     dealt out in turn, so that only the site's name tells the labels apart."""
@@ -49,6 +99,14 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_run_root(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), folder)
+    return read_archives(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(
         table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024
@@ -56,12 +114,45 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
+    "op2_mixing": op2_mixing,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_packing": op4_packing,
     "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op6_toxicity": op6_toxicity,
+    "op7_token_counts": op7_token_counts,
     "op8_url_filter": op8_url_filter,
+    "op9_warc": op9_warc,
     "op10_exact_top_k": op10_exact_top_k,
 }
 
 SQL = {
+    "op9_warc": """
+        WITH coded AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS hex
+            FROM pages
+        ), fifths AS (
+            SELECT page_id, payload_bytes, hex,
+                   list_transform(range(0, 8), lambda i:
+                       ('0x' || substr(hex, (5 * i + 1)::INTEGER, 5))::BIGINT) AS parts
+            FROM coded
+        ), digested AS (
+            SELECT page_id, payload_bytes, hex,
+                   array_to_string(list_transform(range(0, 32), lambda i:
+                       substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                              (((parts[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31) + 1)::INTEGER, 1)
+                   ), '') AS payload_digest
+            FROM fifths
+        ), firsts AS (
+            SELECT hex, payload_bytes, min(page_id) AS first FROM coded GROUP BY hex, payload_bytes
+        )
+        SELECT d.page_id, d.payload_bytes, d.payload_digest,
+               CASE WHEN d.page_id IS NOT DISTINCT FROM f.first THEN 'response' ELSE 'revisit' END
+                   AS record_type,
+               CASE WHEN d.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
+        FROM digested d JOIN firsts f USING (hex, payload_bytes)
+    """,
     "op10_exact_top_k": """
         WITH usable AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v

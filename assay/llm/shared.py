@@ -31,8 +31,7 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
 
 def words_of(text: Column) -> Column:
     """Number of runs of non-blank characters; 0 for NULL."""
-    trimmed = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, " "))).cast("long")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+")).cast("long")
 
 
 def finite(vector: Column) -> Column:

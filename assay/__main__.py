@@ -5,7 +5,7 @@
     python -m assay --root data inspect
     python -m assay --root data refine [table ...]
     python -m assay --root data summarise
-    python -m assay --root data run
+    python -m assay --root data run [--new-files-only]
 """
 
 from __future__ import annotations
@@ -14,17 +14,18 @@ import argparse
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from assay.plans import gold
-from assay.plans.bronze import ingest_all, inspect_bronze
+from assay.plans.bronze import inspect_bronze
 from assay.plans.clock import Clock
 from assay.plans.generate import land_generated, people_from_range
-from assay.plans.medallion import ALL, Layout, bronze_tables, refine_bronze, run
+from assay.plans.medallion import (
+    ALL, Layout, bronze_tables, ingest_landed, refine_bronze, run,
+)
 from assay.plans.silver import SilverTables
 from assay.session import build_session
-from assay.sources.specs import REPORTED, SOURCES
-from assay.streaming.ingest import ingest_new
+from assay.sources.specs import REPORTED
 
 
 def arguments(words: Sequence[str] | None = None) -> argparse.Namespace:
@@ -41,13 +42,23 @@ def arguments(words: Sequence[str] | None = None) -> argparse.Namespace:
     refine = jobs.add_parser("refine", help="write silver tables")
     refine.add_argument("tables", nargs="*", metavar="table", help=", ".join(ALL))
     jobs.add_parser("summarise", help="write and show the gold tables")
-    jobs.add_parser("run", help="ingest, refine and summarise")
-    return parser.parse_args(words)
+    whole = jobs.add_parser("run", help="ingest, refine and summarise")
+    whole.add_argument("--new-files-only", action="store_true", help="read each file once")
+    options = parser.parse_args(words)
+    unknown = sorted(set(getattr(options, "tables", ())) - set(ALL))
+    if unknown:
+        refine.error(f"no table {', '.join(unknown)} (choose from {', '.join(ALL)})")
+    return options
+
+
+def show(rows: DataFrame) -> None:
+    """Print a report with every row it has; reports have a row per source or column."""
+    rows.show(max(1, rows.count()), truncate=False)
 
 
 def show_gold(spark: SparkSession, layout: Layout) -> None:
-    for name in ("kpi_summary", "dq_summary"):
-        spark.read.parquet(f"{layout.gold}/{name}").show(truncate=False)
+    show(spark.read.parquet(f"{layout.gold}/kpi_summary"))
+    show(spark.read.parquet(f"{layout.gold}/dq_summary").orderBy("source_name"))
 
 
 def execute(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -55,30 +66,24 @@ def execute(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.job == "generate":
         people = people_from_range(spark, options.customers)
         land_generated(people, layout.landing, datetime.now(), clock)
-    elif options.job == "ingest" and options.new_files_only:
-        for spec in SOURCES:
-            ingest_new(
-                spark, spec, layout.landing, layout.bronze, layout.checkpoints,
-                layout.ingestion_log, clock,
-            )
     elif options.job == "ingest":
-        ingest_all(spark, layout.landing, layout.bronze, layout.ingestion_log, clock=clock)
+        ingest_landed(spark, layout, clock, options.new_files_only)
     elif options.job == "inspect":
         profile, rows = inspect_bronze(spark, layout.bronze)
-        profile.orderBy("table_name", "position").show(1000, truncate=False)
-        rows.show(truncate=False)
+        show(profile.orderBy("table_name", "position"))
+        show(rows)
     elif options.job == "refine":
         names = options.tables or ALL
         tables = refine_bronze(spark, layout, clock, names)
         specs = [spec for spec in REPORTED if spec.name in names]
         feeds = bronze_tables(spark, layout, names)
-        gold.run_report(spark, feeds, tables, specs).show(truncate=False)
+        show(gold.run_report(spark, feeds, tables, specs).orderBy("source_name"))
     elif options.job == "summarise":
         tables = SilverTables(spark, layout.silver)
         gold.write_gold(spark, layout.bronze, tables, layout.gold, clock)
         show_gold(spark, layout)
     else:
-        run(spark, layout, clock)
+        run(spark, layout, clock, options.new_files_only)
         show_gold(spark, layout)
 
 

@@ -14,8 +14,9 @@ from pyspark.sql.types import StructType
 from assay.functions.hashing import record_hash
 from assay.plans.clock import NOW, Clock
 from assay.sources.fixed_values import INGESTION_LOG_SCHEMA
+from assay.sources.manifest import Manifest, landed_files
 from assay.sources.specs import SOURCES, SourceSpec
-from assay.sources.tables import preview, read_feed, table_profile
+from assay.sources.tables import literal_path, preview, read_csv, read_feed, table_profile
 
 AUDIT_COLUMNS = ("_ingestion_timestamp", "_source_file", "_batch_id", "_record_hash")
 
@@ -72,6 +73,33 @@ def logged(
     return rows
 
 
+def append_rows(feed: DataFrame, target: str, batch_id: str, clock: Clock = NOW) -> int:
+    """Append a feed's rows with their audit columns to a bronze table, in one commit.
+
+    The feed is scanned once: its rows are counted by an observation while they are written.
+    """
+    seen = Observation()
+    rows = with_audit(feed, batch_id, clock).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("append").parquet(target)
+    return seen.get["rows"]
+
+
+def append_files(
+    spark: SparkSession, spec: SourceSpec, files: DataFrame, bronze: str, batch_id: str,
+    clock: Clock, manifest: Manifest,
+) -> int:
+    """Append the rows of listed files and enter the files in the manifest."""
+    manifest.plan(files, batch_id)
+    # The driver lists a folder's files for any scan; here it lists those of the batch alone.
+    paths = [row["path"] for row in manifest.batch_files(batch_id).select("path").collect()]
+    if not paths:
+        return 0
+    feed = read_csv(spark, [literal_path(path) for path in paths], spec.schema)
+    rows = append_rows(feed, f"{bronze}/{spec.feed}", batch_id, clock)
+    manifest.finish(batch_id)
+    return rows
+
+
 def ingest(
     spark: SparkSession,
     spec: SourceSpec,
@@ -80,19 +108,22 @@ def ingest(
     log_path: str,
     clock: Clock = NOW,
     batch_id: str | None = None,
+    manifests: str | None = None,
 ) -> int:
     """Append every landed row of one feed to bronze, log the run, return the row count.
 
-    The feed is scanned once: its rows are counted by an observation while they are written.
+    Every run reads all landed files again, so bronze grows by the landing history. With
+    ``manifests`` the files are entered there, and a later run over new files leaves them out.
     """
     batch_id = batch_id or str(uuid.uuid4())
 
     def append() -> int:
-        seen = Observation()
-        feed = read_feed(spark, landing, spec.feed, spec.schema)
-        rows = with_audit(feed, batch_id, clock).observe(seen, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("append").parquet(f"{bronze}/{spec.feed}")
-        return seen.get["rows"]
+        if manifests is None:
+            feed = read_feed(spark, landing, spec.feed, spec.schema)
+            return append_rows(feed, f"{bronze}/{spec.feed}", batch_id, clock)
+        landed = landed_files(spark, landing, spec.feed)
+        manifest = Manifest(spark, manifests, spec.feed)
+        return append_files(spark, spec, landed, bronze, batch_id, clock, manifest)
 
     return logged(spark, log_path, spec.feed, batch_id, append)
 
@@ -104,10 +135,14 @@ def ingest_all(
     log_path: str,
     specs: Iterable[SourceSpec] = SOURCES,
     clock: Clock = NOW,
+    manifests: str | None = None,
 ) -> dict[str, int]:
     """Ingest the feeds in order; stops at the first failure."""
     return {
-        spec.feed: ingest(spark, spec, landing, bronze, log_path, clock) for spec in specs
+        spec.feed: ingest(
+            spark, spec, landing, bronze, log_path, clock, manifests=manifests
+        )
+        for spec in specs
     }
 
 

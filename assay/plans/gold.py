@@ -75,36 +75,42 @@ def percent(part: str, whole: str) -> Column:
 def quality_counts(
     spark: SparkSession,
     tables: Sequence[tuple[str, DataFrame | None, DataFrame | None]],
+    warnings: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Rows per source in (source, bronze, graded silver), in the order given.
+    """Rows per source in (source, bronze, graded silver), in no order.
 
-    A table that does not exist is None and counts 0. One job counts everything: no data column
-    is read, and partial aggregation leaves one row per task and source to shuffle, however
-    unequal the sources are.
+    A table that does not exist is None and counts 0. With ``warnings``, the warning flag of each
+    source, its valid rows with the flag are counted as ``future_date_rows`` too. One job counts
+    everything: no data column but the flags is read, and partial aggregation leaves one row per
+    task and source to shuffle, however unequal the sources are.
     """
-    layers = ("bronze_rows", "silver_valid_rows", "silver_rejected_rows")
+    layers = ["bronze_rows", "silver_valid_rows", "silver_rejected_rows"]
+    layers += ["future_date_rows"] if warnings else []
     one, is_valid = F.lit(1).cast("bigint"), F.col("_is_valid").cast("bigint")
     names = [source for source, _, _ in tables]
 
     def counted(rows: DataFrame, position: Column, *numbers: Column | None) -> DataFrame:
-        return rows.select(position.alias("position"), *[
-            (F.lit(0).cast("bigint") if number is None else number).alias(layer)
-            for layer, number in zip(layers, numbers)
+        given = dict(zip(layers, numbers))
+        return rows.select(position.cast("int").alias("position"), *[
+            (F.lit(0).cast("bigint") if given.get(layer) is None else given[layer]).alias(layer)
+            for layer in layers
         ])
 
-    sources = spark.createDataFrame([(position,) for position in range(len(names))], "p INT")
-    parts = [counted(sources, F.col("p"), None, None, None)]
-    for position, (_, bronze, graded) in enumerate(tables):
+    sources = spark.range(0, len(names), 1, 1)
+    parts = [counted(sources, F.col("id"))]
+    for position, (name, bronze, graded) in enumerate(tables):
         if bronze is not None:
-            parts.append(counted(bronze, F.lit(position), one, None, None))
+            parts.append(counted(bronze, F.lit(position), one))
         if graded is not None:
-            parts.append(counted(graded, F.lit(position), None, is_valid, one - is_valid))
+            late = (F.col("_is_valid") & F.col(warnings[name])).cast("bigint") if warnings else None
+            parts.append(counted(
+                graded, F.lit(position), None, is_valid, one - is_valid,
+                None if late is None else F.coalesce(late, F.lit(0).cast("bigint")),
+            ))
     return (
         reduce(DataFrame.unionByName, parts)
         .groupBy("position")
         .agg(*[F.sum(name).alias(name) for name in layers])
-        .coalesce(1)  # one row per source
-        .sortWithinPartitions("position")
         .select(
             F.element_at(F.array(*map(F.lit, names)), F.col("position") + 1).alias("source_name"),
             *layers,
@@ -163,26 +169,14 @@ def run_report(
 ) -> DataFrame:
     """Rows read, kept after dedup, valid, rejected, and valid rows with a future date."""
     tables = [(spec.name, bronze[spec.name], silver.graded(spec.name)) for spec in specs]
-    late = [
-        silver.valid(spec.name).where(F.col(spec.warning.flag)).select(
-            F.lit(spec.name).alias("source_name")
-        )
-        for spec in specs
-    ]
-    warnings = (
-        reduce(DataFrame.unionByName, late)
-        .groupBy("source_name")
-        .agg(F.count(F.lit(1)).alias("future_date_rows"))
-    )
-    counts = quality_counts(spark, tables).select(
+    warnings = {spec.name: spec.warning.flag for spec in specs}
+    return quality_counts(spark, tables, warnings).select(
         "source_name",
         "bronze_rows",
         (F.col("silver_valid_rows") + F.col("silver_rejected_rows")).alias("deduplicated_rows"),
         F.col("silver_valid_rows").alias("valid_rows"),
         F.col("silver_rejected_rows").alias("rejected_rows"),
-    )
-    return counts.join(warnings, on="source_name", how="left").withColumn(
-        "future_date_rows", F.coalesce("future_date_rows", F.lit(0))
+        "future_date_rows",
     )
 
 

@@ -11,7 +11,8 @@ from assay.plans.bronze import ingest_all
 from assay.plans.clock import NOW, Clock
 from assay.plans.gold import write_gold
 from assay.plans.silver import SilverTables, refine_all
-from assay.sources.specs import BY_NAME
+from assay.sources.specs import BY_NAME, SOURCES
+from assay.streaming.ingest import ingest_new
 
 ALL = tuple(BY_NAME)
 
@@ -39,8 +40,8 @@ class Layout:
         return f"{self.root}/gold"
 
     @property
-    def checkpoints(self) -> str:
-        return f"{self.root}/metadata/stream_checkpoints"
+    def manifests(self) -> str:
+        return f"{self.root}/metadata/ingested_files"
 
     @property
     def ingestion_log(self) -> str:
@@ -62,8 +63,28 @@ def refine_bronze(
     return refine_all(bronze_tables(spark, layout, names), tables, clocks)
 
 
-def run(spark: SparkSession, layout: Layout, clock: Clock = NOW) -> None:
+def ingest_landed(
+    spark: SparkSession, layout: Layout, clock: Clock = NOW, new_files_only: bool = False
+) -> dict[str, int]:
+    """Append the landed feeds to bronze: all their files again, or those not ingested yet."""
+    if not new_files_only:
+        return ingest_all(
+            spark, layout.landing, layout.bronze, layout.ingestion_log, clock=clock,
+            manifests=layout.manifests,
+        )
+    return {
+        spec.feed: ingest_new(
+            spark, spec, layout.landing, layout.bronze, layout.manifests, layout.ingestion_log,
+            clock,
+        )
+        for spec in SOURCES
+    }
+
+
+def run(
+    spark: SparkSession, layout: Layout, clock: Clock = NOW, new_files_only: bool = False
+) -> None:
     """Landing to gold."""
-    ingest_all(spark, layout.landing, layout.bronze, layout.ingestion_log, clock=clock)
+    ingest_landed(spark, layout, clock, new_files_only)
     silver = refine_bronze(spark, layout, clock)
     write_gold(spark, layout.bronze, silver, layout.gold, clock)

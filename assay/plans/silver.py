@@ -15,6 +15,7 @@ from assay.operators.quality import any_later_than, grade
 from assay.operators.references import flag_existing
 from assay.plans.bronze import AUDIT_COLUMNS, with_audit_columns
 from assay.plans.clock import NOW, Clock
+from assay.sources.folders import require_committed
 from assay.sources.specs import (
     ADDRESSES, BY_NAME, CUSTOMERS, LOYALTY_ACCOUNTS, ORDERS, PAYMENTS, SUPPORT_TICKETS, SourceSpec,
 )
@@ -109,6 +110,7 @@ class SilverTables:
 
 def graded_schema(spark: SparkSession, path: str, spec: SourceSpec) -> StructType:
     """Schema of a written silver table with the partition column put back in its place."""
+    require_committed(spark, path)
     try:
         stored = spark.read.parquet(path)
     except AnalysisException as error:

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from assay.sources.folders import remove
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -59,6 +61,13 @@ def new_run_root(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/assay/{application}/{purpose}-{uuid.uuid4().hex}"
 
 
+def release_run(spark: SparkSession, root: str) -> None:
+    """Remove a run's folder. Only its owner knows when nothing reads from it any more."""
+    if not root.startswith(f"{shared_root(spark)}/assay/"):
+        raise ValueError(f"{root} is no run folder")
+    remove(spark, root)
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once and read it back: short lineage, real file sizes, no recomputation."""
     df.write.mode("overwrite").parquet(path)

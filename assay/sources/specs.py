@@ -52,13 +52,11 @@ class SourceSpec:
 
     @property
     def columns(self) -> list[str]:
-        return [column.split()[0] for column in self.schema_ddl.split(",")]
+        return self.schema.fieldNames()
 
 
-def _cleaning(**groups: tuple[Callable[[str], Column], str]) -> Mapping[str, Callable]:
-    return MappingProxyType(
-        {name: function for function, names in groups.values() for name in names.split()}
-    )
+def _cleaning(*groups: tuple[Callable[[str], Column], tuple[str, ...]]) -> Mapping[str, Callable]:
+    return MappingProxyType({name: function for function, names in groups for name in names})
 
 
 CUSTOMER = Parent("customers", "customer_id", "customer_exists")
@@ -72,9 +70,9 @@ CUSTOMERS = SourceSpec(
     key="customer_id",
     order_column="updated_at",
     cleaning=_cleaning(
-        trim=(trimmed, "first_name last_name"),
-        lower=(lowered, "email gender status"),
-        date=(dated, "date_of_birth signup_date created_at updated_at"),
+        (trimmed, ("first_name", "last_name")),
+        (lowered, ("email", "gender", "status")),
+        (dated, ("date_of_birth", "signup_date", "created_at", "updated_at")),
     ),
     warning=LATE_UPDATE,
     rules=(
@@ -91,10 +89,10 @@ ADDRESSES = SourceSpec(
     key="address_id",
     order_column="updated_at",
     cleaning=_cleaning(
-        trim=(trimmed, "postcode"),
-        lower=(lowered, "address_line_1 suburb country is_primary"),
-        upper=(uppered, "state"),
-        date=(dated, "created_at updated_at"),
+        (trimmed, ("postcode",)),
+        (lowered, ("address_line_1", "suburb", "country", "is_primary")),
+        (uppered, ("state",)),
+        (dated, ("created_at", "updated_at")),
     ),
     parents=(CUSTOMER,),
     warning=LATE_UPDATE,
@@ -115,8 +113,8 @@ ORDERS = SourceSpec(
     key="order_id",
     order_column="updated_at",
     cleaning=_cleaning(
-        upper=(uppered, "order_status currency sales_channel"),
-        date=(dated, "order_date created_at updated_at"),
+        (uppered, ("order_status", "currency", "sales_channel")),
+        (dated, ("order_date", "created_at", "updated_at")),
     ),
     parents=(CUSTOMER,),
     warning=LATE_UPDATE,
@@ -138,8 +136,8 @@ PAYMENTS = SourceSpec(
     key="payment_id",
     order_column="updated_at",
     cleaning=_cleaning(
-        upper=(uppered, "payment_status payment_method currency"),
-        date=(dated, "payment_date created_at updated_at"),
+        (uppered, ("payment_status", "payment_method", "currency")),
+        (dated, ("payment_date", "created_at", "updated_at")),
     ),
     parents=(CUSTOMER, ORDER),
     warning=LATE_UPDATE,
@@ -165,8 +163,8 @@ SUPPORT_TICKETS = SourceSpec(
     key="ticket_id",
     order_column="ticket_created_at",
     cleaning=_cleaning(
-        upper=(uppered, "ticket_status priority channel category"),
-        date=(dated, "ticket_created_at ticket_resolved_at"),
+        (uppered, ("ticket_status", "priority", "channel", "category")),
+        (dated, ("ticket_created_at", "ticket_resolved_at")),
     ),
     parents=(CUSTOMER,),
     warning=LateDates(
@@ -196,8 +194,8 @@ LOYALTY_ACCOUNTS = SourceSpec(
     key="loyalty_account_id",
     order_column="updated_at",
     cleaning=_cleaning(
-        upper=(uppered, "tier loyalty_status"),
-        date=(dated, "join_date created_at updated_at"),
+        (uppered, ("tier", "loyalty_status")),
+        (dated, ("join_date", "created_at", "updated_at")),
     ),
     parents=(CUSTOMER,),
     warning=LateDates("_has_future_date", ("join_date", "updated_at")),

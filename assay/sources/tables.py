@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from assay.operators.quality import rejected, valid
+from assay.sources.folders import data_files, exists, move, publish, remove, require_committed
+
+CONCURRENT_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+FILE_BYTES = 128 << 20
+MOST_FILES_PER_NEEDED = 16
 
 
 # --- landing ---------------------------------------------------------------------------------
@@ -19,7 +24,12 @@ def feed_glob(landing: str, feed: str) -> str:
     return f"{landing}/{feed}/*.csv"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def literal_path(path: str) -> str:
+    """A path in which no character is a wildcard."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """Headered CSV with a declared schema: columns by position, bad numbers become NULL."""
     return spark.read.option("header", True).schema(schema).csv(path)
 
@@ -65,22 +75,38 @@ def read_latest_drop(
 # --- silver ----------------------------------------------------------------------------------
 
 def write_graded(graded: DataFrame, path: str) -> None:
-    """Write valid and rejected rows in one pass and one commit, as two partitions.
+    """Write valid and rejected rows in one pass, as two partitions, and publish them together.
 
-    The rows are computed once, and a crash cannot leave a new valid side next to an old
-    rejected side. A run without rejects removes the old rejects, whatever the session's
-    partition overwrite mode is.
+    The rows are computed once. The table at ``path`` is replaced as a whole when both sides are
+    written, so a failed run leaves the old table, and a run without rejects the old rejects not.
     """
-    (
-        graded.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("_is_valid")
-        .parquet(path)
-    )
+    spark = graded.sparkSession
+    # With as many writers as there are sides, a task writes both at once instead of sorting
+    # all its wide rows by side first.
+    if int(spark.conf.get(CONCURRENT_WRITERS, "0")) < 2:
+        spark.conf.set(CONCURRENT_WRITERS, "2")
+
+    def write(staged: str) -> None:
+        graded.write.partitionBy("_is_valid").parquet(staged)
+        compact(spark, f"{staged}/_is_valid=false")
+
+    publish(spark, path, write)
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Write a folder of many small files anew if it has far more than its size needs."""
+    files, size = data_files(spark, path)
+    needed = max(1, -(-size // FILE_BYTES))
+    if files > MOST_FILES_PER_NEEDED * needed:
+        packed = f"{path.rpartition('/')[0]}/_packed"
+        spark.read.parquet(path).coalesce(needed).write.parquet(packed)
+        remove(spark, path)
+        move(spark, packed, path)
 
 
 def read_graded(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Both sides, columns in the order they were graded in."""
+    require_committed(spark, path)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
@@ -96,26 +122,21 @@ def read_rejected(spark: SparkSession, path: str, schema: StructType) -> DataFra
 # --- gold and inspection ---------------------------------------------------------------------
 
 def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Replace the table at ``path`` once its rows are written; a failed run leaves the old one."""
+    publish(df.sparkSession, path, df.write.parquet)
 
 
 def read_if_present(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame | None:
-    """The Parquet table at ``path``, None when there is no such path."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def count_rows(spark: SparkSession, path: str) -> int:
-    """Rows of the Parquet table at ``path``, from its footers; 0 when there is no such path."""
-    table = read_if_present(spark, path)
-    return 0 if table is None else table.count()
+    """The Parquet table at ``path``, None when there is no such path.
+
+    A folder that no finished job has written is an error, not an empty table.
+    """
+    if not exists(spark, path):
+        return None
+    require_committed(spark, path)
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def table_profile(tables: Iterable[tuple[str, DataFrame]]) -> DataFrame:

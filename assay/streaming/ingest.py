@@ -1,9 +1,10 @@
 """Bronze ingestion of new files only.
 
 The batch job reads every landed file on each run and appends it again, which dedup in silver
-hides but which grows with the history of the landing zone. The file stream remembers which
-files it has read, in a checkpoint, and appends each of them once, also when a run is repeated
-after a failure.
+hides but which grows with the history of the landing zone. Here the landed files are compared
+with the manifest of ingested ones, and only files that are not in it are read, however old their
+file time is. Both modes write bronze the same way and keep the same manifest, so they can follow
+one another in any order.
 """
 
 from __future__ import annotations
@@ -11,12 +12,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from assay.plans.bronze import logged, with_audit
+from assay.plans.bronze import append_files, logged
 from assay.plans.clock import NOW, Clock
+from assay.sources.manifest import Manifest, landed_files
 from assay.sources.specs import SourceSpec
-from assay.sources.tables import feed_glob, read_if_present
 
 
 def ingest_new(
@@ -24,38 +24,25 @@ def ingest_new(
     spec: SourceSpec,
     landing: str,
     bronze: str,
-    checkpoints: str,
+    manifests: str,
     log_path: str,
     clock: Clock = NOW,
     batch_id: str | None = None,
-    files_per_batch: int = 10_000,
 ) -> int:
-    """Append the rows of files not seen before, log the run, and return the number of rows.
+    """Append the rows of files not ingested before, log the run, and return the number of rows.
 
-    ``files_per_batch`` bounds one micro-batch; all new files are read before the call returns.
-    A given ``batch_id`` must be new: the rows written are counted by it, from what was committed,
-    as the progress of a long run is not kept whole.
+    A feed that has not landed at all is logged as FAILED, like in the batch mode; one without new
+    files is a success of 0 rows. A run that died is picked up: its files are read again unless its
+    rows had reached bronze. A file that is written over with another size or time is a new file.
     """
     batch_id = batch_id or str(uuid.uuid4())
-    target = f"{bronze}/{spec.feed}"
+    manifest = Manifest(spark, manifests, spec.feed)
 
     def append() -> int:
-        feed = (
-            spark.readStream.option("header", True)
-            .option("maxFilesPerTrigger", files_per_batch)
-            .schema(spec.schema)
-            .csv(feed_glob(landing, spec.feed))
+        landed = landed_files(spark, landing, spec.feed)
+        manifest.recover(f"{bronze}/{spec.feed}")
+        return append_files(
+            spark, spec, manifest.new_files(landed), bronze, batch_id, clock, manifest
         )
-        rows = with_audit(feed, batch_id, clock)
-        query = (
-            rows.writeStream.format("parquet")
-            .option("path", target)
-            .option("checkpointLocation", f"{checkpoints}/{spec.feed}")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        table = read_if_present(spark, target, rows.schema)
-        return 0 if table is None else table.where(F.col("_batch_id") == batch_id).count()
 
     return logged(spark, log_path, spec.feed, batch_id, append)

@@ -2,7 +2,8 @@
 
 The feeds are landed as CSV first, which is not timed. Each job then reads what the job before
 it wrote and writes its own tables, as in production. A first run warms the session up; the
-second is reported.
+second is reported. ``whole_run`` is the wall time of the run a user makes, in which tables that
+do not depend on each other are refined side by side; it is not part of ``value``.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from assay.plans import gold  # noqa: E402
 from assay.plans.bronze import ingest  # noqa: E402
-from assay.plans.medallion import Layout  # noqa: E402
+from assay.plans.medallion import Layout, run  # noqa: E402
 from assay.plans.silver import WAVES, SilverTables, refine_table  # noqa: E402
-from assay.session import build_session, new_run_root  # noqa: E402
+from assay.session import build_session, new_run_root, release_run  # noqa: E402
 from assay.sources.specs import REPORTED, SOURCES  # noqa: E402
 from assay.sources.tables import write_drop, write_table  # noqa: E402
 from checks.feeds import landing_feed  # noqa: E402
@@ -38,7 +39,8 @@ def timed(seconds: dict[str, float], name: str, job: Callable[[], object]) -> No
 
 def run_jobs(spark: SparkSession, landing: str) -> dict[str, float]:
     seconds: dict[str, float] = {}
-    layout = Layout(new_run_root(spark, "bench"))
+    root = new_run_root(spark, "bench")
+    layout = Layout(root)
     for spec in SOURCES:
         timed(seconds, f"bronze_{spec.name}", lambda: ingest(
             spark, spec, landing, layout.bronze, layout.ingestion_log, DAY
@@ -62,9 +64,16 @@ def run_jobs(spark: SparkSession, landing: str) -> dict[str, float]:
         ),
         f"{layout.gold}/dq_summary",
     ))
+    release_run(spark, root)
     return seconds
 
 
+def whole_run(spark: SparkSession, landing_root: str) -> float:
+    started = time.perf_counter()
+    run(spark, Layout(landing_root), DAY)
+    return round(time.perf_counter() - started, 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -73,16 +82,20 @@ def main() -> None:
         spark_sql_shuffle_partitions=cpus, spark_ui_enabled="false", spark_driver_memory="16g",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    landing = f"{new_run_root(spark, 'landing')}/landing"
+    landed = new_run_root(spark, "landing")
+    landing = f"{landed}/landing"
     for spec in SOURCES:
         write_drop(landing_feed(spark, sf_dir, spec.name), landing, spec.feed, datetime(2001, 6, 1))
     run_jobs(spark, landing)
     seconds = run_jobs(spark, landing)
+    whole = whole_run(spark, landed)
+    release_run(spark, landed)
     print(json.dumps({
         "metric": "full_run_seconds",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
+        "whole_run": whole,
         "sf": Path(sf_dir).name.removeprefix("sf"),
     }))
     spark.stop()

@@ -17,18 +17,31 @@ DAY, TICKET_DAY = "2001-06-01", "2024-01-25"
 DAYS = {name: TICKET_DAY if name == "support_tickets" else DAY for name in NAMES}
 
 COLUMNS = {
-    "customers": "customer_id first_name last_name email phone date_of_birth gender signup_date "
-    "status created_at updated_at source_system",
-    "orders": "order_id customer_id order_date order_status order_amount currency sales_channel "
-    "created_at updated_at source_system",
-    "addresses": "address_id customer_id address_line_1 suburb state postcode country is_primary "
-    "created_at updated_at source_system",
-    "payments": "payment_id order_id customer_id payment_date payment_status payment_method "
-    "payment_amount currency created_at updated_at source_system",
-    "support_tickets": "ticket_id customer_id ticket_created_at ticket_resolved_at ticket_status "
-    "priority channel category agent_id source_system",
-    "loyalty_accounts": "loyalty_account_id customer_id join_date tier points_balance "
-    "loyalty_status created_at updated_at source_system",
+    "customers": (
+        "customer_id", "first_name", "last_name", "email", "phone", "date_of_birth", "gender",
+        "signup_date", "status", "created_at", "updated_at", "source_system",
+    ),
+    "orders": (
+        "order_id", "customer_id", "order_date", "order_status", "order_amount", "currency",
+        "sales_channel", "created_at", "updated_at", "source_system",
+    ),
+    "addresses": (
+        "address_id", "customer_id", "address_line_1", "suburb", "state", "postcode", "country",
+        "is_primary", "created_at", "updated_at", "source_system",
+    ),
+    "payments": (
+        "payment_id", "order_id", "customer_id", "payment_date", "payment_status",
+        "payment_method", "payment_amount", "currency", "created_at", "updated_at",
+        "source_system",
+    ),
+    "support_tickets": (
+        "ticket_id", "customer_id", "ticket_created_at", "ticket_resolved_at", "ticket_status",
+        "priority", "channel", "category", "agent_id", "source_system",
+    ),
+    "loyalty_accounts": (
+        "loyalty_account_id", "customer_id", "join_date", "tier", "points_balance",
+        "loyalty_status", "created_at", "updated_at", "source_system",
+    ),
 }
 
 STANDARDISED = {
@@ -159,15 +172,22 @@ def order_column(name: str) -> str:
     return "ticket_created_at" if name == "support_tickets" else "updated_at"
 
 
-def std_cte(name: str) -> str:
-    return f"std_{name} AS ({STANDARDISED[name]} FROM ({landing_sql(name)}))"
+def hash_of_landed(name: str) -> str:
+    texts = ", ".join(f"CAST({c} AS VARCHAR)" for c in COLUMNS[name])
+    return f"sha256(concat_ws('||', {texts})) AS _record_hash"
+
 
+def std_cte(name: str, hashed: bool = False) -> str:
+    more = f", {hash_of_landed(name)}" if hashed else ""
+    return f"std_{name} AS ({STANDARDISED[name]}{more} FROM ({landing_sql(name)}))"
 
-def dedup_cte(name: str) -> str:
+
+def dedup_cte(name: str, hashed: bool = False) -> str:
     key, first = KEYS[name], order_column(name)
-    ties = [c for c in COLUMNS[name].split() if c not in (key, first)]
+    kept = [*COLUMNS[name], "_record_hash"] if hashed else COLUMNS[name]
+    ties = [c for c in kept if c not in (key, first)]
     order = ", ".join(f"{c} DESC NULLS LAST" for c in [first, *ties])
-    return f"""dedup_{name} AS (SELECT {', '.join(COLUMNS[name].split())} FROM
+    return f"""dedup_{name} AS (SELECT {', '.join(kept)} FROM
         (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn
          FROM std_{name}) WHERE rn = 1)"""
 
@@ -217,7 +237,7 @@ def as_text(column: str) -> str:
 
 
 def business(name: str) -> str:
-    return ", ".join(shown(c) for c in COLUMNS[name].split())
+    return ", ".join(shown(c) for c in COLUMNS[name])
 
 
 def processed(name: str) -> str:
@@ -319,8 +339,41 @@ def union(parts: list[str]) -> str:
     return " UNION ALL ".join(f"({part})" for part in parts)
 
 
+def quality(names: list[str]) -> str:
+    """Data-quality rows; sources that are not named have no tables."""
+    counted = [
+        f"""SELECT '{name}' AS source_name,
+        (SELECT count(*) FROM ({landing_sql(name)})) AS bronze_rows,
+        count(*) FILTER (WHERE _is_valid) AS silver_valid_rows,
+        count(*) FILTER (WHERE NOT _is_valid) AS silver_rejected_rows,
+        count(*) AS total_processed_rows FROM graded_{name}"""
+        for name in names
+    ]
+    absent = [
+        f"""SELECT '{name}' AS source_name, CAST(0 AS BIGINT) AS bronze_rows,
+        CAST(0 AS BIGINT) AS silver_valid_rows, CAST(0 AS BIGINT) AS silver_rejected_rows,
+        CAST(0 AS BIGINT) AS total_processed_rows"""
+        for name in NAMES if name not in names
+    ]
+    return f"""SELECT *, round(silver_rejected_rows / nullif(total_processed_rows, 0) * 100, 2)
+        AS rejection_rate_percent, '{DAY} 00:00:00' AS _gold_processed_at
+        FROM ({union(counted + absent)})"""
+
+
 def gold_queries() -> dict[str, str]:
     everything = ctes(NAMES)
+    kpis = f"""{everything} SELECT count(*) AS total_customers,
+        CAST(sum(CAST(status = 'active' AS INT)) AS BIGINT) AS active_customers,
+        CAST(sum(CAST(status = 'blocked' AS INT)) AS BIGINT) AS blocked_customers,
+        CAST(sum(CAST(total_orders > 0 AS INT)) AS BIGINT) AS customers_with_orders,
+        round(sum(total_revenue), 2) AS total_revenue,
+        round(avg(total_revenue), 2) AS avg_customer_revenue,
+        CAST(sum(CAST(loyalty_tier IS NOT NULL AS INT)) AS BIGINT) AS customers_with_loyalty,
+        CAST(sum(points_balance) AS BIGINT) AS total_points_balance,
+        CAST(sum(CAST(support_ticket_count > 0 AS INT)) AS BIGINT)
+            AS customers_with_support_tickets,
+        CAST(sum(open_ticket_count) AS BIGINT) AS open_support_tickets,
+        '{DAY} 00:00:00' AS _gold_processed_at FROM ({SNAPSHOT})"""
     landed = {name: f"(SELECT count(*) FROM ({landing_sql(name)}))" for name in NAMES}
     return {
         "primary_address": f"{ctes(lineage('addresses'))} {ADDRESS}",
@@ -329,25 +382,11 @@ def gold_queries() -> dict[str, str]:
         "payment_summary": f"{ctes(lineage('payments'))} {PAYMENT_SUMMARY}",
         "support_summary": f"{ctes(lineage('support_tickets'))} {SUPPORT_SUMMARY}",
         "customer_snapshot": f"{everything} {SNAPSHOT}",
-        "kpi_summary": f"""{everything} SELECT count(*) AS total_customers,
-            CAST(sum(CAST(status = 'active' AS INT)) AS BIGINT) AS active_customers,
-            CAST(sum(CAST(status = 'blocked' AS INT)) AS BIGINT) AS blocked_customers,
-            CAST(sum(CAST(total_orders > 0 AS INT)) AS BIGINT) AS customers_with_orders,
-            round(sum(total_revenue), 2) AS total_revenue,
-            round(avg(total_revenue), 2) AS avg_customer_revenue,
-            CAST(sum(CAST(loyalty_tier IS NOT NULL AS INT)) AS BIGINT) AS customers_with_loyalty,
-            CAST(sum(points_balance) AS BIGINT) AS total_points_balance,
-            CAST(sum(CAST(support_ticket_count > 0 AS INT)) AS BIGINT)
-                AS customers_with_support_tickets,
-            CAST(sum(open_ticket_count) AS BIGINT) AS open_support_tickets,
-            '{DAY} 00:00:00' AS _gold_processed_at FROM ({SNAPSHOT})""",
-        "dq_summary": f"""{everything} SELECT *,
-            round(silver_rejected_rows / nullif(total_processed_rows, 0) * 100, 2)
-                AS rejection_rate_percent, '{DAY} 00:00:00' AS _gold_processed_at FROM ({union([
-            f'''SELECT '{name}' AS source_name, {landed[name]} AS bronze_rows,
-            count(*) FILTER (WHERE _is_valid) AS silver_valid_rows,
-            count(*) FILTER (WHERE NOT _is_valid) AS silver_rejected_rows,
-            count(*) AS total_processed_rows FROM graded_{name}''' for name in NAMES])})""",
+        "kpi_summary": kpis,
+        "landed_kpis": kpis,
+        "dq_summary": f"{everything} {quality(NAMES)}",
+        "landed_orders": landed_orders(),
+        "landed_quality": f"{everything} {quality([n for n in NAMES if n != 'loyalty_accounts'])}",
         "reject_reasons": f"""{everything} {union([
             f'''SELECT '{name}' AS source_name, _rejection_reason AS reason,
             count(*) AS rejected_rows FROM graded_{name} WHERE NOT _is_valid
@@ -370,19 +409,19 @@ AUDIT = [
 ]
 
 
+def audit_values(name: str) -> str:
+    return f"""'{DAY} 00:00:00' AS _ingestion_timestamp,
+        '{FEED_NAMES.get(name, name)}_20010601_000000.csv' AS _source_file,
+        'batch-1' AS _batch_id"""
+
+
 def bronze_table(name: str) -> str:
-    feed = FEED_NAMES.get(name, name)
-    columns = COLUMNS[name].split()
-    texts = ", ".join(f"CAST({c} AS VARCHAR)" for c in columns)
-    return f"""SELECT {', '.join(columns)}, '{DAY} 00:00:00' AS _ingestion_timestamp,
-        '{feed}_20010601_000000.csv' AS _source_file, 'batch-1' AS _batch_id,
-        sha256(concat_ws('||', {texts})) AS _record_hash FROM ({landing_sql(name)})"""
+    return f"""SELECT {', '.join(COLUMNS[name])}, {audit_values(name)}, {hash_of_landed(name)}
+        FROM ({landing_sql(name)})"""
 
 
 def incremental() -> str:
-    columns = COLUMNS["customers"].split()
-    texts = ", ".join(f"CAST({c} AS VARCHAR)" for c in columns)
-    head = f"""SELECT {', '.join(columns)}, sha256(concat_ws('||', {texts})) AS _record_hash"""
+    head = f"SELECT {', '.join(COLUMNS['customers'])}, {hash_of_landed('customers')}"
     rows = f"FROM ({landing_sql('customers')})"
     return union([
         f"{head}, 'first' AS _batch_id {rows}",
@@ -390,8 +429,16 @@ def incremental() -> str:
     ])
 
 
+def landed_orders() -> str:
+    parents = [cte("customers") for cte in (std_cte, dedup_cte, fk_cte, graded_cte)]
+    rows = [std_cte("orders", True), dedup_cte("orders", True), fk_cte("orders"),
+            graded_cte("orders")]
+    return f"""WITH {', '.join(parents + rows)} SELECT {business('orders')},
+        {audit_values('orders')}, _record_hash FROM graded_orders WHERE _is_valid"""
+
+
 def profile(name: str) -> str:
-    columns = [(c, TYPES.get(c, "string")) for c in COLUMNS[name].split()] + AUDIT
+    columns = [(c, TYPES.get(c, "string")) for c in COLUMNS[name]] + AUDIT
     count = f"(SELECT count(*) FROM ({landing_sql(name)}))"
     return union([
         f"""SELECT '{FEED_NAMES.get(name, name)}' AS table_name, {position} AS position,
@@ -417,7 +464,12 @@ def bronze_queries() -> dict[str, str]:
         "bronze_incremental": incremental(),
         "bronze_ingest_log": union([logged(name) for name in NAMES]),
         "bronze_ingest_failure": union([logged("customers"), failed]),
+        "bronze_new_feed_missing": failed.replace("'orders'", "'crm_customers'", 1),
+        **{name: incremental() for name in (
+            "bronze_late_drop", "bronze_batch_then_new", "bronze_new_then_batch")},
         "bronze_inspect": union([profile("customers"), profile("orders")]),
+        "preview5": f"""SELECT least(5, count(*)) AS rows_shown, least(5, count(*)) AS rows_found
+            FROM ({landing_sql('customers')})""",
     }
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +17,13 @@ from assay.operators.references import distinct_keys, orphans
 from assay.plans import bronze as bronze_plans
 from assay.plans import generate, gold, silver as silver_plans
 from assay.plans.clock import Clock
+from assay.plans.medallion import Layout, refine_bronze, run
 from assay.plans.silver import SilverTables
 from assay.session import new_run_root, written
 from assay.sources import fixed_values as fixed
+from assay.sources.folders import set_file_times
 from assay.sources.specs import BY_NAME, CUSTOMERS, ORDERS, SOURCES, SourceSpec
-from assay.sources.tables import preview, read_latest_drop, write_drop
+from assay.sources.tables import read_latest_drop, write_drop, write_table
 from assay.streaming.ingest import ingest_new
 from checks.feeds import landing_feed, table
 
@@ -85,17 +87,69 @@ def bronze_latest_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops, ingested one after the other and then once more: every file is read once."""
+    return _two_drops(spark, sf_dir, (_new, _new, _new))
+
+
+def bronze_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second drop carries a file time thirty days before the first one's."""
+    return _two_drops(spark, sf_dir, (_new, _new, _new), second_is_older=True)
+
+
+def bronze_batch_then_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first drop by the batch mode, the second by the new-files mode, over one folder."""
+    return _two_drops(spark, sf_dir, (_batch, _new, _new))
+
+
+def bronze_new_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other way round; the batch mode reads the first drop again, so its rows of the first
+    drop are left out here."""
+    rows = _two_drops(spark, sf_dir, (_new, _batch, _new), keep_file=True)
+    again = (F.col("_batch_id") == "second") & F.col("_source_file").contains("_20010601_")
+    return rows.where(~again).drop("_source_file")
+
+
+def _new(spark: SparkSession, root: str, batch_id: str) -> None:
+    ingest_new(
+        spark, CUSTOMERS, f"{root}/landing", f"{root}/bronze", f"{root}/manifests", f"{root}/log",
+        DAY, batch_id=batch_id,
+    )
+
+
+def _batch(spark: SparkSession, root: str, batch_id: str) -> None:
+    bronze_plans.ingest(
+        spark, CUSTOMERS, f"{root}/landing", f"{root}/bronze", f"{root}/log", DAY,
+        batch_id=batch_id, manifests=f"{root}/manifests",
+    )
+
+
+def _two_drops(
+    spark: SparkSession, sf_dir: str, runs: tuple[Callable, ...], second_is_older: bool = False,
+    keep_file: bool = False,
+) -> DataFrame:
+    """Bronze customers after a first drop and run, a second drop and run, and a third run."""
     root = new_run_root(spark, "landing")
-    places = (f"{root}/landing", f"{root}/bronze", f"{root}/checkpoints", f"{root}/log")
     feed = landing_feed(spark, sf_dir, "customers")
-    write_drop(feed, places[0], CUSTOMERS.feed, DROP_STAMP)
-    ingest_new(spark, CUSTOMERS, *places, DAY, batch_id="first")
+    write_drop(feed, f"{root}/landing", CUSTOMERS.feed, DROP_STAMP)
+    runs[0](spark, root, "first")
     updates = feed.where(F.col("updated_at") >= UPDATES_SINCE)
-    write_drop(updates, places[0], CUSTOMERS.feed, datetime(2001, 6, 2))
-    ingest_new(spark, CUSTOMERS, *places, DAY, batch_id="second")
-    ingest_new(spark, CUSTOMERS, *places, DAY, batch_id="third")
+    drop = write_drop(updates, f"{root}/landing", CUSTOMERS.feed, datetime(2001, 6, 2))
+    if second_is_older:
+        set_file_times(spark, drop, datetime.now() - timedelta(days=30))
+    runs[1](spark, root, "second")
+    runs[2](spark, root, "third")
     rows = spark.read.parquet(f"{root}/bronze/{CUSTOMERS.feed}")
-    return rows.select(*CUSTOMERS.columns, "_batch_id", "_record_hash")
+    more = ["_source_file"] if keep_file else []
+    return rows.select(*CUSTOMERS.columns, "_batch_id", "_record_hash", *more)
+
+
+def bronze_new_feed_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nothing has landed: the new-files mode logs a failure too."""
+    root = new_run_root(spark, "landing")
+    try:
+        _new(spark, root, "first")
+    except Exception:
+        return _log(spark, f"{root}/log")
+    raise AssertionError("ingesting a feed that has not landed must fail")
 
 
 def _log(spark: SparkSession, path: str) -> DataFrame:
@@ -135,7 +189,17 @@ def bronze_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview(landing_feed(spark, sf_dir, "customers"))
+    """How many rows the preview shows, and how many of them the bronze table holds."""
+    bronze = _bronze_customers_orders(spark, sf_dir)
+    shown = written(
+        bronze_plans.inspect_bronze(spark, bronze)[1], new_run_root(spark, "preview")
+    )
+    stored = spark.read.parquet(f"{bronze}/{CUSTOMERS.feed}").select(
+        F.col("_record_hash").alias("stored")
+    ).distinct()
+    return shown.join(stored, F.col("_record_hash") == F.col("stored"), "left").agg(
+        F.count(F.lit(1)).alias("rows_shown"), F.count("stored").alias("rows_found")
+    )
 
 
 # --- silver, step by step --------------------------------------------------------------------
@@ -268,6 +332,48 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.run_report(spark, _feeds(spark, sf_dir, NAMES), _silver(spark, sf_dir))
 
 
+# --- landing to gold -------------------------------------------------------------------------
+
+def _landed(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple[Layout, SilverTables]:
+    """CSV drops, ingested, and refined from bronze Parquet."""
+    layout = Layout(_land(spark, sf_dir, names))
+    for name in names:
+        bronze_plans.ingest(
+            spark, BY_NAME[name], layout.landing, layout.bronze, layout.ingestion_log, DAY,
+            batch_id=BATCH,
+        )
+    return layout, refine_bronze(spark, layout, DAY, names)
+
+
+def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid silver orders with the audit columns that bronze gave them."""
+    _, tables = _landed(spark, sf_dir, ["customers", "orders"])
+    drop = F.regexp_extract("_source_file", r"/(orders_[0-9_]+\.csv)/", 1)
+    return comparable(
+        tables.valid("orders").withColumn("_source_file", drop).select(
+            *ORDERS.columns, *bronze_plans.AUDIT_COLUMNS
+        )
+    )
+
+
+def landed_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPIs as the whole run writes them, from the written snapshot."""
+    layout = Layout(_land(spark, sf_dir, NAMES))
+    run(spark, layout, DAY)
+    rows = spark.read.parquet(f"{layout.gold}/kpi_summary")
+    return comparable(money(rows, "total_revenue", "avg_customer_revenue"))
+
+
+def landed_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality summary through the table mapping; loyalty accounts have never landed."""
+    present = [name for name in NAMES if name != "loyalty_accounts"]
+    layout, tables = _landed(spark, sf_dir, present)
+    counts = gold.quality_counts(spark, gold.dq_tables(spark, layout.bronze, tables))
+    path = f"{layout.gold}/dq_summary"
+    write_table(gold.dq_summary(counts, DAY), path)
+    return comparable(spark.read.parquet(path))
+
+
 # --- feed generation -------------------------------------------------------------------------
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -408,6 +514,10 @@ def all_queries() -> dict[str, Query]:
         **_per_table("bronze", bronze_table, NAMES),
         "bronze_latest_drop": bronze_latest_drop,
         "bronze_incremental": bronze_incremental,
+        "bronze_late_drop": bronze_late_drop,
+        "bronze_batch_then_new": bronze_batch_then_new,
+        "bronze_new_then_batch": bronze_new_then_batch,
+        "bronze_new_feed_missing": bronze_new_feed_missing,
         "bronze_ingest_log": bronze_ingest_log,
         "bronze_ingest_failure": bronze_ingest_failure,
         "bronze_inspect": bronze_inspect,
@@ -435,6 +545,9 @@ def all_queries() -> dict[str, Query]:
         "customer_snapshot": customer_snapshot,
         "kpi_summary": kpi_summary,
         "dq_summary": dq_summary,
+        "landed_orders": landed_orders,
+        "landed_kpis": landed_kpis,
+        "landed_quality": landed_quality,
         **_per_table("gen", generated, NAMES),
         "gen_keys_fanout": gen_keys_fanout,
         "gen_sample": gen_sample,

@@ -13,12 +13,15 @@ from assay.plans.bronze import AUDIT_COLUMNS, ingest, ingest_all, inspect_bronze
 from assay.plans.clock import Clock
 from assay.sources.specs import BY_NAME, CUSTOMERS, ORDERS
 from assay.sources.tables import (
-    count_rows, latest_drop, read_feed, read_if_present, read_latest_drop, write_drop,
+    latest_drop, read_feed, read_if_present, read_latest_drop, write_drop,
 )
 from assay.streaming.ingest import ingest_new
 
 FIRST, SECOND = datetime(2024, 1, 1, 8), datetime(2024, 1, 2, 8)
-HEADER = ",".join(ORDERS.columns)
+HEADER = (
+    "order_id,customer_id,order_date,order_status,order_amount,currency,sales_channel,"
+    "created_at,updated_at,source_system"
+)
 
 
 def customers(spark, *keys):
@@ -123,11 +126,13 @@ def test_latest_plain_file_and_no_file(spark, folder):
         latest_drop(spark, f"{folder}/landing", "payments")
 
 
-def test_missing_table_counts_zero(spark, folder):
-    assert count_rows(spark, f"{folder}/nowhere") == 0
+def test_missing_and_unfinished_tables(spark, folder):
     assert read_if_present(spark, f"{folder}/nowhere") is None
     customers(spark, "C1", "C2").write.parquet(f"{folder}/there")
-    assert count_rows(spark, f"{folder}/there") == 2
+    assert read_if_present(spark, f"{folder}/there").count() == 2
+    Path(folder, "there", "_SUCCESS").unlink()
+    with pytest.raises(FileNotFoundError, match="no committed table"):
+        read_if_present(spark, f"{folder}/there")
 
 
 def test_inspection(spark, folder):
@@ -142,8 +147,8 @@ def test_inspection(spark, folder):
     assert head.count() == 5
 
 
-def test_stream_reads_each_file_once(spark, folder):
-    places = (f"{folder}/landing", f"{folder}/bronze", f"{folder}/checkpoints", f"{folder}/log")
+def test_new_files_are_read_once(spark, folder):
+    places = (f"{folder}/landing", f"{folder}/bronze", f"{folder}/manifests", f"{folder}/log")
     write_drop(customers(spark, "C1", "C2"), f"{folder}/landing", CUSTOMERS.feed, FIRST)
     assert ingest_new(spark, CUSTOMERS, *places, batch_id="b1") == 2
     assert ingest_new(spark, CUSTOMERS, *places, batch_id="b2") == 0
@@ -155,27 +160,56 @@ def test_stream_reads_each_file_once(spark, folder):
     }
     assert table.where(F.col("_source_file").contains("crm_customers_2024")).count() == 3
     assert [r["rows_written"] for r in log_of(spark, folder)] == [2, 0, 1]
+    assert not list(Path(folder, "bronze").rglob("_spark_metadata"))
 
 
-def test_stream_counts_all_its_micro_batches(spark, folder):
+def test_names_with_wildcards_are_plain_names(spark, folder):
     lines = [HEADER, "O1,C1,d,PAID,1.5,AUD,WEB,x,y,z"]
-    for number in range(5):
-        write_csv(folder, "orders", f"orders_{number}.csv", *lines)
-    places = (f"{folder}/landing", f"{folder}/bronze", f"{folder}/checkpoints", f"{folder}/log")
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
-    try:
-        assert ingest_new(spark, ORDERS, *places, files_per_batch=1) == 5
-    finally:
-        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    write_csv(folder, "orders", "orders_[1] {a}.csv", *lines)
+    write_csv(folder, "orders", "orders_1.csv", *lines)
+    places = (f"{folder}/landing", f"{folder}/bronze", f"{folder}/manifests", f"{folder}/log")
+    assert ingest_new(spark, ORDERS, *places) == 2
+
+
+def test_a_feed_that_has_not_landed_fails_in_both_modes(spark, folder):
+    places = (f"{folder}/landing", f"{folder}/bronze")
+    with pytest.raises(AnalysisException):
+        ingest_new(spark, ORDERS, *places, f"{folder}/manifests", f"{folder}/log")
+    with pytest.raises(AnalysisException):
+        ingest(spark, ORDERS, *places, f"{folder}/log", manifests=f"{folder}/manifests")
+    assert [r["status"] for r in log_of(spark, folder)] == ["FAILED", "FAILED"]
+
+
+def test_a_run_that_died_is_picked_up(spark, folder, monkeypatch):
+    """Before its rows reached bronze they are read again; after that they are not."""
+    places = (f"{folder}/landing", f"{folder}/bronze", f"{folder}/manifests", f"{folder}/log")
+    write_drop(customers(spark, "C1"), f"{folder}/landing", CUSTOMERS.feed, FIRST)
+
+    def die(*_):
+        raise RuntimeError("the driver died")
+
+    with monkeypatch.context() as broken:
+        broken.setattr("assay.plans.bronze.append_rows", die)
+        with pytest.raises(RuntimeError):
+            ingest_new(spark, CUSTOMERS, *places)
+    assert ingest_new(spark, CUSTOMERS, *places) == 1
+    write_drop(customers(spark, "C2"), f"{folder}/landing", CUSTOMERS.feed, SECOND)
+    with monkeypatch.context() as broken:
+        broken.setattr("assay.sources.manifest.Manifest.finish", die)
+        with pytest.raises(RuntimeError):
+            ingest_new(spark, CUSTOMERS, *places)
+    assert ingest_new(spark, CUSTOMERS, *places) == 0
+    table = spark.read.parquet(f"{folder}/bronze/crm_customers")
+    assert sorted(r["customer_id"] for r in table.collect()) == ["C1", "C2"]
 
 
-def test_stream_and_batch_agree(spark, folder):
+def test_both_modes_agree(spark, folder):
     spec = BY_NAME["customers"]
     write_drop(customers(spark, "C1", "C2", "C3"), f"{folder}/landing", spec.feed, FIRST)
     clock = Clock(instant=FIRST)
     ingest(spark, spec, f"{folder}/landing", f"{folder}/batch", f"{folder}/log", clock, "b")
     ingest_new(
-        spark, spec, f"{folder}/landing", f"{folder}/stream", f"{folder}/checkpoints",
+        spark, spec, f"{folder}/landing", f"{folder}/stream", f"{folder}/manifests",
         f"{folder}/log", clock, "b",
     )
     batch, stream = (spark.read.parquet(f"{folder}/{kind}/{spec.feed}") for kind in

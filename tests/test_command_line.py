@@ -4,7 +4,8 @@ import pytest
 
 from assay.__main__ import arguments, execute
 from assay.plans.silver import SilverTables
-from assay.session import CHECKPOINT_SETTING, new_run_root, shared_root
+from assay.session import CHECKPOINT_SETTING, new_run_root, release_run, shared_root
+from assay.sources.folders import exists
 
 
 def call(spark, folder, *words):
@@ -88,9 +89,37 @@ def test_new_files_only(spark, folder):
     assert spark.read.parquet(f"{folder}/bronze/orders").count() == size > 0
 
 
-def test_job_is_required():
+def test_running_over_new_files_leaves_bronze_alone(spark, folder):
+    call(spark, folder, "generate", "--customers", "50")
+    call(spark, folder, "run", "--new-files-only")
+    before = quality_of(spark, folder)
+    call(spark, folder, "run", "--new-files-only")
+    after = quality_of(spark, folder)
+    assert {n: tuple(r)[1:6] for n, r in before.items()} == {
+        n: tuple(r)[1:6] for n, r in after.items()
+    }
+    call(spark, folder, "generate", "--customers", "20")
+    call(spark, folder, "run", "--new-files-only")
+    assert quality_of(spark, folder)["customers"]["bronze_rows"] > (
+        before["customers"]["bronze_rows"]
+    )
+
+
+def test_job_is_required_and_tables_must_be_known(capsys):
     with pytest.raises(SystemExit):
         arguments(["--root", "x"])
+    with pytest.raises(SystemExit):
+        arguments(["--root", "x", "refine", "orders", "nothing"])
+    assert "nothing" in capsys.readouterr().err
+
+
+def test_a_run_folder_is_removed_by_its_owner(spark, folder):
+    root = new_run_root(spark, "mine")
+    spark.range(3).write.parquet(f"{root}/table")
+    release_run(spark, root)
+    assert not exists(spark, root)
+    with pytest.raises(ValueError, match="no run folder"):
+        release_run(spark, folder)
 
 
 def test_a_cluster_must_name_its_shared_folder():

@@ -1,5 +1,7 @@
 """Plans and hot keys: what must hold when the tables are large."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from assay.plans import gold, silver
 from assay.plans.clock import Clock
 from assay.session import SETTINGS, new_run_root, written
 from assay.sources.specs import BY_NAME, SOURCES
+from assay.sources.tables import read_graded, write_graded, write_table
 from checks import queries as registered
 from checks.feeds import landing_feed
 
@@ -180,6 +183,58 @@ def test_no_query_uses_python_rows_or_a_cross_join(spark, sf_dir, plan_of):
             assert bad not in plan, (name, bad)
 
 
+def last_plan(spark):
+    """Physical plan of the last execution that wrote files."""
+    listed = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [listed.apply(i).physicalPlanDescription() for i in range(listed.size())]
+    return [plan for plan in plans if "InsertIntoHadoopFsRelationCommand" in plan][-1]
+
+
+def test_silver_is_written_without_a_sort(spark, sf_dir, folder):
+    feed = landing_feed(spark, sf_dir, "customers")
+    graded = silver.refine(feed, BY_NAME["customers"], {}, Clock())
+    write_graded(graded, f"{folder}/silver")
+    plan = last_plan(spark).split("Initial Plan")[0]
+    top = plan[plan.index("InsertIntoHadoopFsRelationCommand"):]
+    before_window = top[: top.index("Window")]
+    assert "Sort" not in before_window
+
+
+def test_a_failing_write_leaves_the_old_table(spark, folder):
+    """The error comes while files are being written; the table is whole, its neighbours clean."""
+    path = f"{folder}/orders"
+    good = spark.range(0, 100).select("id", (F.col("id") % 2 == 0).alias("_is_valid"))
+    write_graded(good, path)
+    bad = spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") == 99, F.raise_error(F.lit("broken row"))).otherwise(F.col("id")).alias(
+            "id"
+        ),
+        F.lit(True).alias("_is_valid"),
+    )
+    with pytest.raises(Exception, match="broken row"):
+        write_graded(bad, path)
+    assert read_graded(spark, path, good.schema).count() == 100
+    with pytest.raises(Exception, match="broken row"):
+        write_table(bad, path)
+    assert read_graded(spark, path, good.schema).count() == 100
+    assert [p.name for p in Path(folder).iterdir()] == ["orders"]
+    write_graded(good.limit(0), path)
+    assert read_graded(spark, path, good.schema).count() == 0
+    Path(path, "_SUCCESS").unlink()
+    with pytest.raises(FileNotFoundError, match="no committed table"):
+        read_graded(spark, path, good.schema)
+
+
+def test_rejected_files_follow_their_size(spark, folder):
+    """Ninety tasks leave ninety rejected files, which are packed before they are published."""
+    rows = spark.range(0, 9000, 1, 90).select("id", (F.col("id") % 10 > 0).alias("_is_valid"))
+    write_graded(rows, f"{folder}/table")
+    files = list(Path(folder, "table", "_is_valid=false").glob("*.parquet"))
+    assert len(files) == 1
+    sides = read_graded(spark, f"{folder}/table", rows.schema).groupBy("_is_valid").count()
+    assert {r["_is_valid"]: r["count"] for r in sides.collect()} == {True: 8100, False: 900}
+
+
 def test_columns_are_pruned_to_the_lookup_key(spark, sf_dir, no_broadcast, plan_of):
     tables = silver.SilverTables(spark, new_run_root(spark, "silver"))
     silver.refine_all(

@@ -55,8 +55,9 @@ def token_pieces(
                 part = batch.slice(at, DOCUMENTS_A_STEP)
                 columns: list[list] = [[] for _ in fields]
                 names, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                for name, text in zip(names, texts, strict=True):
-                    ids = words.encode(text or "") + end
+                encoded = words.encode([text or "" for text in texts])
+                for name, ids in zip(names, encoded, strict=True):
+                    ids += end
                     total = len(ids) // 4
                     for start in range(0, total, window):
                         piece = ids[4 * start: 4 * (start + window)]

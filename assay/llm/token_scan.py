@@ -64,10 +64,10 @@ def write_token_files(
                 if stream is None:
                     system.create_dir(path.rpartition("/")[0], recursive=True)
                     stream = system.open_output_stream(path)
-                for text in part.column(1).to_pylist():
-                    ids = words.encode(text or "") + end
-                    stream.write(ids)
-                    size += len(ids)
+                texts = [text or "" for text in part.column(1).to_pylist()]
+                data = b"".join(ids + end for ids in words.encode(texts))
+                stream.write(data)
+                size += len(data)
                 yield listed(file, part.column(0).to_pylist(), ordinal)
                 ordinal += part.num_rows
         if stream is not None:

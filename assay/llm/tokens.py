@@ -2,7 +2,8 @@
 
 The byte-level pattern never joins characters across the point before a single blank that is
 followed by a non-blank, so a text may be encoded blank by blank and the ids put together. Texts
-where a blank stands between or after other white space are encoded whole.
+where a blank stands between or after other white space are encoded whole. Words not seen before
+are laid end to end and encoded together; the bytes that each id stands for tell them apart again.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ import numpy as np
 from tokenizers import Tokenizer
 
 ODD_BLANKS = re.compile(r"\s (?:\s|\Z)")
-REMEMBERED = 300_000
+REMEMBERED = 350_000
 LONGEST_REMEMBERED = 64
+WORDS_A_CALL = 4096
 
 
 class WordEncoder:
@@ -26,27 +28,67 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         # The strings of special tokens are ordinary text inside a document.
         self.tokenizer.encode_special_tokens = True
-        self.kind = kind
+        self.kind = np.dtype(kind)
+        vocabulary = self.tokenizer.get_vocab()
+        # A token of the vocabulary file is written with one character per byte.
+        self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.id_bytes[number] = len(token)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def direct(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
+    def whole(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, dtype=self.kind).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        if ODD_BLANKS.search(text):
-            return self.direct([text])[0]
-        head, *rest = text.split(" ")
-        fresh = list(set(rest).difference(self.known))
+    def together(self, words: list[str]) -> list[bytes]:
+        """Ids of every word with a blank before it; words begin and end with non-blanks."""
+        chunks = [" " + word for word in words]
+        found = self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)
+        ids = np.array(found[0].ids, dtype=self.kind)
+        ends = np.cumsum([len(chunk.encode()) for chunk in chunks])
+        reached = np.cumsum(self.id_bytes[ids])
+        cuts = np.searchsorted(reached, ends) + 1
+        if not np.array_equal(reached[cuts - 1], ends):
+            return [self.whole(chunk) for chunk in chunks]
+        data, size = ids.tobytes(), self.kind.itemsize
+        cuts = (cuts * size).tolist()
+        return [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+    def learned(self, words: set[str]) -> dict[str, bytes]:
+        found, plain = {}, []
+        for word in words:
+            if word and word == word.strip():
+                plain.append(word)
+            else:
+                found[word] = self.whole(" " + word)
+        for at in range(0, len(plain), WORDS_A_CALL):
+            part = plain[at: at + WORDS_A_CALL]
+            found.update(zip(part, self.together(part), strict=True))
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        parts = [None if ODD_BLANKS.search(text) else text.split(" ") for text in texts]
+        words: set[str] = set()
+        for split in parts:
+            if split is not None:
+                words.update(split[1:])
+        fresh = words.difference(self.known)
         if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = list(set(rest))
-        own = dict(zip(fresh, self.direct([" " + word for word in fresh]), strict=True))
-        self.known.update((w, ids) for w, ids in own.items() if len(w) <= LONGEST_REMEMBERED)
-        known = self.known
-        if all(len(word) <= LONGEST_REMEMBERED for word in fresh):
-            return self.direct([head])[0] + b"".join(map(known.__getitem__, rest))
-        return self.direct([head])[0] + b"".join(own.get(w) or known[w] for w in rest)
+            # Words that are still in use come back from the older half one by one.
+            self.older, self.known, fresh = self.known, {}, words
+        known, older = self.known, self.older
+        known.update({word: older[word] for word in fresh if word in older})
+        fresh = fresh.difference(known)
+        known.update(self.learned(fresh))
+        found = [
+            self.whole(text) if split is None
+            else self.whole(split[0]) + b"".join(map(known.__getitem__, split[1:]))
+            for text, split in zip(texts, parts, strict=True)
+        ]
+        for word in [word for word in fresh if len(word) > LONGEST_REMEMBERED]:
+            del known[word]
+        return found
 
 
 _encoders: dict[tuple[str, str], WordEncoder] = {}

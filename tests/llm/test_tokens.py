@@ -43,8 +43,12 @@ def documents(spark, texts):
 def test_word_by_word_equals_whole_texts(tokenizer, spark, sf_dir):
     given = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     fast = WordEncoder(PATH)
-    for text in given + [t for t in TEXTS if t]:
-        assert np.frombuffer(fast.encode(text), "<u4").tolist() == ids_of(tokenizer, text)
+    texts = given + [t for t in TEXTS if t]
+    for size in (1, 7, len(texts)):
+        for at in range(0, len(texts), size):
+            part = texts[at: at + size]
+            for text, ids in zip(part, fast.encode(part), strict=True):
+                assert np.frombuffer(ids, "<u4").tolist() == ids_of(tokenizer, text)
 
 
 def check_packed(rows, expected):

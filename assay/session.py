@@ -14,9 +14,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Join by hash instead of sorting both sides when every partition of one side is measured
-    # to be this small; sort-merge otherwise. Must not be below the advisory partition size.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # to be this small; sort-merge otherwise. Must not be below the advisory partition size. The
+    # bytes are compressed and the hash table cannot spill, so a task must have several times as
+    # much; the keys joined here are short and unpack to about three times their size.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
     # Splits a reduce partition that one hot key made large, on the many-rows side of a join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

@@ -78,7 +78,9 @@ def shared_fingerprints(lines: DataFrame) -> DataFrame:
     prints = lines.where("chosen IS NOT NULL").select(
         "doc", F.col("chosen.line").alias("line"), F.col("chosen.short_hash").alias("print")
     ).distinct()
-    often = prints.groupBy("print").count().where("count > 1").select("print")
+    often = stored(
+        prints.groupBy("print").count().where("count > 1").select("print"), "lines-often"
+    )
     return prints.join(often, "print", "left_semi").select("doc").distinct()
 
 
@@ -98,9 +100,13 @@ def repeated_lines(lines: DataFrame) -> DataFrame:
         ),
         "lines-shared",
     )
-    firsts = grams.where("long_hash IS NOT NULL").groupBy("long_hash").agg(
-        F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("places")
-    ).where("places > 1").select("long_hash", "first")
+    # Written, so that the join's both sides are plain scans and a hot gram's partition is split.
+    firsts = stored(
+        grams.where("long_hash IS NOT NULL").groupBy("long_hash").agg(
+            F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("places")
+        ).where("places > 1").select("long_hash", "first"),
+        "lines-first",
+    )
     matches = grams.join(firsts, "long_hash").where(
         F.struct("doc", "line") != F.col("first")
     ).select(

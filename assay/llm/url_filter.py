@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assay.llm.shared import stored
+
 GRAM_SIZES = (3, 4, 5)
 BUCKETS = 1 << 15
 TRAINING_ROWS = 20_000
@@ -123,7 +125,8 @@ def with_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     path starts with the rule's. Rules are matched once per distinct host. Of equally long rules
     the largest in text order wins, of equal texts with two verdicts ``block``.
     """
-    found = host_rules(urls.select("host").distinct(), rules)
+    # Written, so that the join's both sides are plain scans and a hot host's partition is split.
+    found = stored(host_rules(urls.select("host").distinct(), rules), "host-rules")
     fits = F.filter("fitting", lambda r: F.startswith(F.col("path"), r["starts"]))
     best = F.array_max(fits)
     return urls.join(found, "host", "left").select(

@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.shared import file_system
+from assay.llm.shared import file_system, stored
 from assay.session import written
 
 # Fixed values of the format.
@@ -171,10 +171,18 @@ def write_archives(
     bounds = shard_bounds(keyed, shard_bytes)
     equal = (F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("size"))
     # NULL ids come last here, so that they are first only among themselves.
-    firsts = keyed.select("page_id", "url", *equal).where(F.col("size") >= revisit_from).groupBy(
-        "sha1", "size"
-    ).agg(
-        F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "url")).alias("first")
+    # Only payloads that occur more than once; written, so that the join's both sides are plain
+    # scans and the partition of a hot payload is split.
+    firsts = stored(
+        keyed.select("page_id", "url", *equal).where(F.col("size") >= revisit_from).groupBy(
+            "sha1", "size"
+        ).agg(
+            F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "url")).alias(
+                "first"
+            ),
+            F.count(F.lit(1)).alias("records"),
+        ).where("records > 1").select("sha1", "size", "first"),
+        "warc-first",
     )
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,9 @@ its smallest document id. Every tree of the forest labels a node with several Mi
 labels sorted are a prefix trie. The longest prefixes are matched first and shortened until pairs
 at the wanted similarity meet in some tree with the target recall. In every branch of the trie
 each node is compared with the branch's smallest node, so a huge branch costs one comparison per
-node; what then still lies in different groups of one branch is compared pair by pair.
+node. What then still lies in different groups of one branch is compared pair by pair: as rows in
+small branches, and in tiles of two blocks of nodes in large ones, which give one link per node and
+group instead of all pairs.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.llm.components import connected_components
@@ -29,6 +32,8 @@ TREES = 16
 DEPTH = 6
 TARGET_RECALL = 0.999
 VALUE_BYTES = 2
+PAIRS_A_BRANCH = 256
+TILE_NODES = 256
 REMEMBERED = 300_000
 SHINGLES_A_STEP = 1 << 13
 DOCUMENTS_A_STEP = 256
@@ -162,6 +167,17 @@ def shingled(documents: DataFrame) -> DataFrame:
     ).mapInArrow(cut, "doc_id long, words_key binary, grams array<long>")
 
 
+def gram_sets(needed: DataFrame, nodes: DataFrame, documents: DataFrame) -> DataFrame:
+    """``node, grams``: the exact shingle sets of the needed nodes."""
+    wanted = nodes.join(needed, "node").select(F.col("node").alias("doc_id"), "words_key")
+    texts = documents.select("doc_id", "text").join(wanted.select("doc_id"), "doc_id", "left_semi")
+    return stored(
+        shingled(texts).join(wanted, ["doc_id", "words_key"], "left_semi")
+        .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "grams"),
+        "shingles",
+    )
+
+
 def verified(
     pairs: DataFrame, nodes: DataFrame, documents: DataFrame, similarity: float
 ) -> DataFrame:
@@ -179,13 +195,7 @@ def verified(
         "pairs",
     )
     needed = possible.select(F.col("a").alias("node")).union(possible.select("b")).distinct()
-    wanted = nodes.join(needed, "node").select(F.col("node").alias("doc_id"), "words_key")
-    texts = documents.select("doc_id", "text").join(wanted.select("doc_id"), "doc_id", "left_semi")
-    sets = stored(
-        shingled(texts).join(wanted, ["doc_id", "words_key"], "left_semi")
-        .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "grams"),
-        "shingles",
-    )
+    sets = gram_sets(needed, nodes, documents)
     both = F.size(F.array_intersect("grams_a", "grams_b"))
     return possible.join(sets.toDF("a", "grams_a"), "a").join(
         sets.toDF("b", "grams_b"), "b"
@@ -202,26 +212,127 @@ def branches(forest: DataFrame, depth: int) -> DataFrame:
 def smallest_pairs(forest: DataFrame, depth: int) -> DataFrame:
     """Every node with the smallest node of its branch."""
     at_depth = branches(forest, depth)
-    smallest = at_depth.groupBy("branch").agg(
-        F.min("node").alias("a"), F.max("node").alias("last")
-    ).where("a <> last").select("branch", "a")
+    # Written, so that the join's both sides are plain scans and a huge branch's partition is split.
+    smallest = stored(
+        at_depth.groupBy("branch").agg(
+            F.min("node").alias("a"), F.max("node").alias("last")
+        ).where("a <> last").select("branch", "a"),
+        "branch-smallest",
+    )
     return at_depth.join(smallest, "branch").where("node <> a").select(
         "a", F.col("node").alias("b")
     )
 
 
-def pairs_across(forest: DataFrame, depth: int, groups: DataFrame) -> DataFrame:
-    """Pairs of nodes that share a branch but lie in different groups (``node, component``)."""
+def mixed_branches(forest: DataFrame, depth: int, groups: DataFrame) -> DataFrame:
+    """``branch, node, component, outside, others, total``: the nodes of the branches that hold
+    several groups (``node, component``). ``outside`` are those not in the smallest group."""
     grouped = branches(forest, depth).join(groups, "node", "left").select(
         "branch", "node", F.coalesce("component", "node").alias("component")
     )
-    mixed_branches = grouped.groupBy("branch").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low <> high").select("branch")
-    rest = grouped.join(mixed_branches, "branch", "left_semi")
-    left = rest.select("branch", F.col("node").alias("a"), F.col("component").alias("of_a"))
-    right = rest.select("branch", F.col("node").alias("b"), F.col("component").alias("of_b"))
-    return left.join(right, "branch").where("a < b AND of_a <> of_b").select("a", "b").distinct()
+    low = stored(
+        grouped.groupBy("branch").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")
+        ).where("low <> high").select("branch", "low"),
+        "branch-mixed",
+    )
+    rest = stored(
+        grouped.join(low, "branch").withColumn("outside", F.col("component") > F.col("low")),
+        "branch-nodes",
+    )
+    sizes = stored(
+        rest.groupBy("branch").agg(
+            F.count_if("outside").alias("others"), F.count(F.lit(1)).alias("total")
+        ),
+        "branch-sizes",
+    )
+    return rest.join(sizes, "branch")
+
+
+def pairs_across(mixed_nodes: DataFrame) -> DataFrame:
+    """All pairs of nodes that share one of the given branches but no group."""
+    left = mixed_nodes.where("outside").select(
+        "branch", F.col("node").alias("x"), F.col("component").alias("of_x")
+    )
+    right = mixed_nodes.select(
+        "branch", F.col("node").alias("y"), F.col("component").alias("of_y")
+    )
+    return left.join(right, "branch").where("of_x <> of_y").select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    ).distinct()
+
+
+def links_in_tile(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """For every node on the left one similar node of every other group on the right."""
+    found: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        sizes = np.array([len(grams) for grams in right["grams"]])
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        values, codes = np.unique(np.concatenate(right["grams"].to_list()), return_inverse=True)
+        nodes, groups = right["node"].to_numpy(), right["component"].to_numpy()
+        for node, group, grams in zip(left["node"], left["component"], left["grams"], strict=True):
+            at = np.searchsorted(values, grams)
+            at = at[np.take(values, at, mode="clip") == grams]
+            held = np.zeros(len(values) + 1, np.int64)
+            held[at] = 1
+            both = np.add.reduceat(held[codes], starts)
+            near = (both >= similarity * (len(grams) + sizes - both)) & (groups != group)
+            first: dict[int, int] = {}
+            for other, name in sorted(zip(groups[near].tolist(), nodes[near].tolist())):
+                first.setdefault(other, name)
+            found += [(min(node, name), max(node, name)) for name in first.values()]
+    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+
+def tiled_links(
+    mixed_nodes: DataFrame, nodes: DataFrame, documents: DataFrame, similarity: float,
+    tile_nodes: int = TILE_NODES,
+) -> DataFrame:
+    """Verified links between groups of the given branches, block against block."""
+    sets = gram_sets(mixed_nodes.select("node").distinct(), nodes, documents)
+
+    def blocks(count: str) -> Column:
+        return F.greatest(F.ceil(F.col(count) / F.lit(tile_nodes)), F.lit(1))
+
+    block = F.xxhash64("node")
+    last = F.lit(1).cast("long")
+    rows = stored(
+        mixed_nodes.select(
+            "branch", "node", "component", "outside",
+            blocks("others").alias("left_blocks"), blocks("total").alias("right_blocks"),
+        ).join(sets, "node"),
+        "branch-sets",
+    )
+    left = rows.where("outside").select(
+        "branch", "node", "component", "grams",
+        F.pmod(block, "left_blocks").alias("left_block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("right_blocks") - last)).alias(
+            "right_block"
+        ),
+    )
+    right = rows.select(
+        "branch", "node", "component", "grams",
+        F.pmod(block, "right_blocks").alias("right_block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("left_blocks") - last)).alias(
+            "left_block"
+        ),
+    )
+    tile = ("branch", "left_block", "right_block")
+    return left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(
+        lambda a, b: links_in_tile(a, b, similarity), "a long, b long"
+    ).distinct()
+
+
+def links_across(
+    forest: DataFrame, depth: int, groups: DataFrame, nodes: DataFrame, documents: DataFrame,
+    similarity: float, pairs_a_branch: int = PAIRS_A_BRANCH,
+) -> DataFrame:
+    """Links between nodes that share a branch but no group yet; each such pair is compared."""
+    mixed_nodes = stored(mixed_branches(forest, depth, groups), "branch-rest")
+    few = F.col("others") * F.col("total") <= pairs_a_branch
+    as_rows = verified(pairs_across(mixed_nodes.where(few)), nodes, documents, similarity)
+    many = mixed_nodes.where(~few)
+    return as_rows.union(tiled_links(many, nodes, documents, similarity)).distinct()
 
 
 def near_duplicates(
@@ -231,8 +342,8 @@ def near_duplicates(
 
     ``class_id`` is the smallest id that the document reaches by links of at least ``similarity``
     (Jaccard, runs of five words, letters lower-cased) and by equal words. ``links`` counts the
-    other texts that were compared with its text and found similar: inside a large group each
-    text is compared with the smallest of its branches, not with all. ``copies`` counts the ids
+    other texts that it was linked to: inside a large group each text is linked to the smallest of
+    its branches and to one of each other group in them, not to all that are similar. ``copies`` counts the ids
     with the same words. Texts of fewer than five words are one shingle; NULL and empty texts have
     no words and are copies of each other. Rows without id have no result. Rows of one id count
     once; if their texts differ, the one with the smallest hash is compared. Other columns than
@@ -254,9 +365,12 @@ def near_duplicates(
     depth = prefix_depth(similarity, recall=recall)
     trees = nodes.select("node", F.posexplode("labels").alias("tree", "label"))
     # Most nodes are alone in most branches; those rows end here.
-    shared = branches(trees, depth).groupBy("branch").agg(
-        F.min("node").alias("first"), F.max("node").alias("last")
-    ).where("first <> last").select("branch")
+    shared = stored(
+        branches(trees, depth).groupBy("branch").agg(
+            F.min("node").alias("first"), F.max("node").alias("last")
+        ).where("first <> last").select("branch"),
+        "branch-shared",
+    )
     forest = stored(
         branches(trees, depth).join(shared, "branch", "left_semi").select("node", "tree", "label"),
         "forest",
@@ -269,7 +383,7 @@ def near_duplicates(
     )
     groups = connected_components(first)
     second = stored(
-        verified(pairs_across(forest, depth, groups), nodes, documents, similarity), "links-rest"
+        links_across(forest, depth, groups, nodes, documents, similarity), "links-rest"
     )
     links = first.union(second).distinct()
     if not second.isEmpty():

@@ -117,11 +117,36 @@ def test_pairs_across_groups_are_all_compared(spark):
         [(n, 0, bytes(12)) for n in range(6)], "node long, tree int, label binary"
     )
     groups = spark.createDataFrame([(0, 0), (1, 0), (2, 0)], "node long, component long")
-    pairs = {(r["a"], r["b"]) for r in ngram_join.pairs_across(forest, 4, groups).collect()}
+    mixed = ngram_join.mixed_branches(forest, 4, groups)
+    pairs = {(r["a"], r["b"]) for r in ngram_join.pairs_across(mixed).collect()}
     inside = {(0, 1), (0, 2), (1, 2)}
     assert pairs == set(itertools.combinations(range(6), 2)) - inside
 
 
+def test_tiles_find_the_same_groups_as_pairs(spark):
+    """Near copies of near copies: few are similar to the smallest, many to one another."""
+    words, rows = prose(500, 150), []
+    for i in range(60):
+        words = edited(words, 7000 + i, 1 if i % 9 else 12)
+        rows.append((i, " ".join(words), "s"))
+    table = documents(spark, rows)
+    nodes = ngram_join.stored(ngram_join.signed(table).withColumnRenamed("doc_id", "node"), "t")
+    forest = nodes.select("node", F.posexplode("labels").alias("tree", "label"))
+    none = spark.createDataFrame([], "node long, component long")
+    links, classes, _, _ = brute_links(rows)
+    for pairs_a_branch in (0, 10**9):
+        found = ngram_join.links_across(forest, 4, none, nodes, table, 0.8, pairs_a_branch)
+        pairs = {(r["a"], r["b"]) for r in found.collect()}
+        assert pairs <= links
+        groups = connected_components(found).collect()
+        assert {r["node"]: r["component"] for r in groups} == {
+            i: c for i, c in classes.items() if any(i in pair for pair in links)
+        }
+    mixed = ngram_join.mixed_branches(forest, 4, none)
+    tiles = ngram_join.tiled_links(mixed, nodes, table, 0.8, tile_nodes=7)
+    assert {(r["a"], r["b"]) for r in tiles.collect()} == links
+
+
 def test_one_of_each_group_stays(spark):
     rows = near_rows()
     _, classes, _, _ = brute_links(rows)

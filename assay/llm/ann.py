@@ -24,7 +24,7 @@ FIT_ROWS = 20_000
 TUNING_QUERIES = 96
 TARGET_RECALL = 0.96
 ROW_BLOCK = 8192
-QUERY_BLOCK = 256
+QUERY_BLOCK = 1024
 MOST_CENTROIDS = 256
 
 

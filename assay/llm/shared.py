@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 import assay
 from assay.session import new_run_root, written
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+DEFAULT_BATCH_ROWS = "10000"
+
 _shipped: set[str] = set()
 
 
@@ -49,8 +52,11 @@ def block_numbers(blocks: int) -> Column:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let executors import this package, also where it is only on the driver's path."""
+    """Let executors import this package, also where it is only on the driver's path, and send
+    them whole texts in batches that fit beside the heap, unless the session says otherwise."""
     context = spark.sparkContext
+    if spark.conf.get(BATCH_ROWS) == DEFAULT_BATCH_ROWS:
+        spark.conf.set(BATCH_ROWS, "1000")
     if context.applicationId not in _shipped:
         package = Path(assay.__file__).parent
         archive = Path(tempfile.mkdtemp(prefix="assay-code-")) / "assay_code.zip"

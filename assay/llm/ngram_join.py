@@ -7,7 +7,9 @@ at the wanted similarity meet in some tree with the target recall. In every bran
 each node is compared with the branch's smallest node, so a huge branch costs one comparison per
 node. What then still lies in different groups of one branch is compared pair by pair: as rows in
 small branches, and in tiles of two blocks of nodes in large ones, which give one link per node and
-group instead of all pairs.
+group instead of all pairs. Similar texts are then in one group, and all pairs of each group are
+compared to count the links of its nodes; large groups are counted in tiles, so that no pairs are
+written.
 """
 
 from __future__ import annotations
@@ -262,21 +264,30 @@ def pairs_across(mixed_nodes: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def near_masks(
+    left: pd.Series, right: pd.Series, similarity: float
+) -> Iterator[np.ndarray]:
+    """For every shingle set on the left which sets on the right are similar. No set is empty."""
+    sizes = np.array([len(grams) for grams in right])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    values, codes = np.unique(np.concatenate(right.to_list()), return_inverse=True)
+    for grams in left:
+        at = np.searchsorted(values, grams)
+        at = at[np.take(values, at, mode="clip") == grams]
+        held = np.zeros(len(values) + 1, np.int64)
+        held[at] = 1
+        both = np.add.reduceat(held[codes], starts)
+        yield both >= similarity * (len(grams) + sizes - both)
+
+
 def links_in_tile(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> pd.DataFrame:
     """For every node on the left one similar node of every other group on the right."""
     found: list[tuple[int, int]] = []
     if len(left) and len(right):
-        sizes = np.array([len(grams) for grams in right["grams"]])
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        values, codes = np.unique(np.concatenate(right["grams"].to_list()), return_inverse=True)
         nodes, groups = right["node"].to_numpy(), right["component"].to_numpy()
-        for node, group, grams in zip(left["node"], left["component"], left["grams"], strict=True):
-            at = np.searchsorted(values, grams)
-            at = at[np.take(values, at, mode="clip") == grams]
-            held = np.zeros(len(values) + 1, np.int64)
-            held[at] = 1
-            both = np.add.reduceat(held[codes], starts)
-            near = (both >= similarity * (len(grams) + sizes - both)) & (groups != group)
+        masks = near_masks(left["grams"], right["grams"], similarity)
+        for node, group, mask in zip(left["node"], left["component"], masks, strict=True):
+            near = mask & (groups != group)
             first: dict[int, int] = {}
             for other, name in sorted(zip(groups[near].tolist(), nodes[near].tolist())):
                 first.setdefault(other, name)
@@ -284,6 +295,25 @@ def links_in_tile(left: pd.DataFrame, right: pd.DataFrame, similarity: float) ->
     return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
 
+def counts_in_tile(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """``node, links``: how many nodes of the other block are similar to each node of a block, or
+    how many others of its own, if both blocks are the same."""
+    if not len(left) or not len(right):
+        return pd.DataFrame({"node": [], "links": []}, dtype=np.int64)
+    nodes = right["node"].to_numpy()
+    own = np.zeros(len(left), np.int64)
+    others = np.zeros(len(right), np.int64)
+    masks = near_masks(left["grams"], right["grams"], similarity)
+    for i, (node, mask) in enumerate(zip(left["node"], masks, strict=True)):
+        near = mask & (nodes != node)
+        own[i] = near.sum()
+        others += near
+    found = pd.DataFrame({"node": left["node"].to_numpy(), "links": own})
+    if left["block"].iloc[0] != right["block"].iloc[0]:
+        found = pd.concat([found, pd.DataFrame({"node": nodes, "links": others})])
+    return found[found["links"] > 0]
+
+
 def tiled_links(
     mixed_nodes: DataFrame, nodes: DataFrame, documents: DataFrame, similarity: float,
     tile_nodes: int = TILE_NODES,
@@ -335,20 +365,66 @@ def links_across(
     return as_rows.union(tiled_links(many, nodes, documents, similarity)).distinct()
 
 
-def near_duplicates(
-    documents: DataFrame, similarity: float = SIMILARITY, recall: float = TARGET_RECALL
+def tiled_counts(
+    grouped: DataFrame, nodes: DataFrame, documents: DataFrame, similarity: float,
+    tile_nodes: int = TILE_NODES,
 ) -> DataFrame:
-    """``doc_id, class_id, links, copies`` for every id of ``documents``.
+    """``node, links`` of the groups ``component, node, size``, block against block."""
+    sets = gram_sets(grouped.select("node"), nodes, documents)
+    count = F.ceil(F.col("size") / F.lit(tile_nodes))
+    rows = stored(
+        grouped.select(
+            "component", "node", count.alias("blocks"),
+            F.pmod(F.xxhash64("node"), count).alias("block"),
+        ).join(sets, "node"),
+        "group-sets",
+    )
+    zero, last = F.lit(0).cast("long"), F.col("blocks") - 1
+    left = rows.withColumn("right_block", F.explode(F.sequence("block", last))).withColumn(
+        "left_block", F.col("block")
+    )
+    right = rows.withColumn("left_block", F.explode(F.sequence(zero, "block"))).withColumn(
+        "right_block", F.col("block")
+    )
+    tile = ("component", "left_block", "right_block")
+    columns = (*tile, "node", "block", "grams")
+    return left.select(*columns).groupBy(*tile).cogroup(
+        right.select(*columns).groupBy(*tile)
+    ).applyInPandas(lambda a, b: counts_in_tile(a, b, similarity), "node long, links long")
 
-    ``class_id`` is the smallest id that the document reaches by links of at least ``similarity``
-    (Jaccard, runs of five words, letters lower-cased) and by equal words. ``links`` counts the
-    other texts that it was linked to: inside a large group each text is linked to the smallest of
-    its branches and to one of each other group in them, not to all that are similar. ``copies`` counts the ids
-    with the same words. Texts of fewer than five words are one shingle; NULL and empty texts have
-    no words and are copies of each other. Rows without id have no result. Rows of one id count
-    once; if their texts differ, the one with the smallest hash is compared. Other columns than
-    ``doc_id`` and ``text`` are not read.
+
+def link_counts(
+    groups: DataFrame, nodes: DataFrame, documents: DataFrame, similarity: float,
+    pairs_a_group: int = PAIRS_A_BRANCH, tile_nodes: int = TILE_NODES,
+) -> DataFrame:
+    """``node, links``: to how many nodes of its group (``node, component``) a node is similar.
+
+    All pairs of a group are compared, once each: as rows in small groups, in tiles in large ones.
+    Two nodes alone are linked to each other.
     """
+    sizes = stored(
+        groups.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "group-sizes"
+    )
+    grouped = stored(groups.join(sizes, "component").select("component", "node", "size"), "grouped")
+    two = grouped.where("size = 2").select("node", F.lit(1).cast("long").alias("links"))
+    more = F.col("size") > 2
+    few = F.col("size") * (F.col("size") - 1) <= 2 * pairs_a_group
+    small = grouped.where(more & few)
+    pairs = small.select("component", F.col("node").alias("a")).join(
+        small.select("component", F.col("node").alias("b")), "component"
+    ).where("a < b").select("a", "b")
+    linked = verified(pairs, nodes, documents, similarity)
+    counted = two.union(
+        linked.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long"))
+    ).union(tiled_counts(grouped.where(more & ~few), nodes, documents, similarity, tile_nodes))
+    return stored(counted.groupBy("node").agg(F.sum("links").alias("links")), "link-counts")
+
+
+def linked_nodes(
+    documents: DataFrame, similarity: float, recall: float
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``members`` (doc_id, words_key), ``leaders`` (words_key, node, copies), ``nodes`` with
+    shingles, and ``groups`` (node, component) of those with links."""
     rows = stored(signed(documents), "signatures")
     ids = rows.groupBy("doc_id").agg(F.min("words_key").alias("words_key"))
     members = stored(ids, "members")
@@ -388,11 +464,34 @@ def near_duplicates(
     links = first.union(second).distinct()
     if not second.isEmpty():
         groups = connected_components(links)
-    degrees = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy(
-        "node"
-    ).agg(F.count(F.lit(1)).alias("links"))
-    classes = leaders.join(groups, "node", "left").join(degrees, "node", "left").select(
-        "words_key", "copies", F.coalesce("component", "node").alias("class_id"),
+    return members, leaders, nodes, groups
+
+
+def classes_of(leaders: DataFrame, groups: DataFrame) -> DataFrame:
+    """``leaders`` with ``class_id``, the smallest node that theirs reaches."""
+    return leaders.join(groups, "node", "left").select(
+        "node", "words_key", "copies", F.coalesce("component", "node").alias("class_id")
+    )
+
+
+def near_duplicates(
+    documents: DataFrame, similarity: float = SIMILARITY, recall: float = TARGET_RECALL
+) -> DataFrame:
+    """``doc_id, class_id, links, copies`` for every id of ``documents``.
+
+    ``class_id`` is the smallest id that the document reaches by links of at least ``similarity``
+    (Jaccard, runs of five words, letters lower-cased) and by equal words. ``links`` counts the
+    other texts of its class that are similar to it, each text of equal words once; all pairs of a
+    class are compared. ``copies`` counts the ids
+    with the same words. Texts of fewer than five words are one shingle; NULL and empty texts have
+    no words and are copies of each other. Rows without id have no result. Rows of one id count
+    once; if their texts differ, the one with the smallest hash is compared. Other columns than
+    ``doc_id`` and ``text`` are not read.
+    """
+    members, leaders, nodes, groups = linked_nodes(documents, similarity, recall)
+    degrees = link_counts(groups, nodes, documents, similarity)
+    classes = classes_of(leaders, groups).join(degrees, "node", "left").select(
+        "words_key", "copies", "class_id",
         F.coalesce("links", F.lit(0)).cast("long").alias("links"),
     )
     return members.join(classes, "words_key").select("doc_id", "class_id", "links", "copies")
@@ -400,9 +499,10 @@ def near_duplicates(
 
 def keep_one_of_each(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows whose id names their class, once each; rows without id stay."""
-    kept = near_duplicates(documents, similarity).where("doc_id = class_id").select(
-        F.col("doc_id").alias("_kept")
-    )
+    members, leaders, _, groups = linked_nodes(documents, similarity, TARGET_RECALL)
+    kept = members.join(classes_of(leaders, groups), "words_key").where(
+        "doc_id = class_id"
+    ).select(F.col("doc_id").alias("_kept"))
     columns = documents.columns
     own = documents.withColumn("_text_key", F.xxhash64("text"))
     named = own.where("doc_id IS NOT NULL").join(

@@ -147,6 +147,42 @@ def test_tiles_find_the_same_groups_as_pairs(spark):
     assert {(r["a"], r["b"]) for r in tiles.collect()} == links
 
 
+def degrees_of(links, words):
+    degrees = defaultdict(set)
+    for a, b in links:
+        degrees[a].add(words[b])
+        degrees[b].add(words[a])
+    return {i: len(degrees[i]) for i in words}
+
+
+def test_links_are_all_similar_texts(spark):
+    """Also inside groups whose texts are all similar to one another, or only in part."""
+    rows = near_rows()
+    words = prose(600, 200)
+    rows += [(2000 + i, " ".join(edited(words, 8000 + i, 3)), "s") for i in range(30)]
+    for i in range(40):
+        words = edited(words, 9000 + i, 4)
+        rows.append((3000 + i, " ".join(words), "t"))
+    found = ngram_join.near_duplicates(documents(spark, rows)).collect()
+    links, _, _, words = brute_links(rows)
+    assert {r["doc_id"]: r["links"] for r in found} == degrees_of(links, words)
+
+
+def test_tiles_count_the_same_links_as_pairs(spark):
+    words, rows = prose(700, 150), []
+    for i in range(50):
+        words = edited(words, 6000 + i, 3)
+        rows.append((i, " ".join(words), "s"))
+    table = documents(spark, rows)
+    nodes = ngram_join.stored(ngram_join.signed(table).withColumnRenamed("doc_id", "node"), "t")
+    groups = nodes.select("node", F.lit(0).cast("long").alias("component"))
+    links, _, _, words = brute_links(rows)
+    degrees = {i: n for i, n in degrees_of(links, words).items() if n}
+    for pairs_a_group in (0, 10**9):
+        found = ngram_join.link_counts(groups, nodes, table, 0.8, pairs_a_group, tile_nodes=7)
+        assert {r["node"]: r["links"] for r in found.collect()} == degrees
+
+
 def test_one_of_each_group_stays(spark):
     rows = near_rows()
     _, classes, _, _ = brute_links(rows)

@@ -455,3 +455,35 @@ def test_toxicity_without_labels_or_documents(spark):
 def test_threshold_lies_in_the_middle_of_the_gap():
     scores, labels = np.array([0.9, 0.8, 0.2, 0.1]), np.array([1.0, 1.0, 0.0, 0.0])
     assert toxicity.best_threshold(scores, labels) == pytest.approx(0.5)
+
+
+def test_caps_do_not_change_the_odds(spark, monkeypatch):
+    """A row of the sample weighs as many labelled rows as it stands for."""
+    rows, labels = toxic_rows(400)
+    marks, given = spark.createDataFrame(labels, LABELS), []
+    monkeypatch.setattr(
+        toxicity, "fit", lambda rows, stands_for=(1.0, 1.0): given.append((rows, stands_for))
+    )
+    toxicity.train_on(documents(spark, rows), marks, toxic_rows=50, clean_rows=60)
+    (sample, stands_for), = given
+    known = Counter(t for i, _, t in labels if not held_out(i))
+    assert Counter(r["toxic"] for r in sample) == {1: 50, 0: 60}
+    assert stands_for == pytest.approx((known[0] / 60, known[1] / 50))
+
+
+def test_weights_count_like_repeated_rows():
+    chosen = np.random.default_rng(4)
+    labels = (np.arange(60) % 3 == 0).astype(float)
+    scores = chosen.random(60) * 0.7 + 0.3 * labels * chosen.random(60)
+    weights = np.where(labels == 1, 1.0, 4.0)
+    times = weights.astype(int)
+    assert toxicity.best_threshold(scores, labels, weights) == pytest.approx(
+        toxicity.best_threshold(np.repeat(scores, times), np.repeat(labels, times))
+    )
+    texts = [toxicity.word_codes(" ".join(prose(i, 20))) for i in range(60)]
+    model = toxicity.starting_model(texts, labels)
+    toxicity.calibrate(model, texts, labels)
+    before = model.score(texts).mean()
+    toxicity.calibrate(model, texts, labels, weights)
+    assert before == pytest.approx(1 / 3, abs=0.03)
+    assert model.score(texts) @ weights / weights.sum() == pytest.approx(1 / 9, abs=0.03)

@@ -5,8 +5,9 @@ of whole lines from a line on with at least so many words. Of the short grams th
 window of words the one with the smallest hash is a fingerprint. A run of at least ``min_words``
 words holds one whole window of short grams at its start, so two documents that share the run
 share a fingerprint. Only documents with a shared fingerprint are looked at further: their long
-grams (``min_words`` words) are joined with the place where each stands first, matches are
-extended over the lines before and behind, and the matched lines of the later place go.
+grams (``min_words`` words), the shortest from a line on and the shortest up to a line, are joined
+with the place where each stands first, and the lines of the later places go. Each line of a
+repeated run lies in such a gram of the run, whichever earlier place the run has.
 
 SQL functions only, no Python on the executors.
 """
@@ -34,11 +35,12 @@ def lines_of(text: Column) -> Column:
 
 
 def line_table(documents: DataFrame, id_column: str, text_column: str, min_words: int) -> DataFrame:
-    """``doc, line, long_hash, long_lines, chosen``, one row per line of each distinct document.
+    """``doc, line, long_hash, long_size, back_hash, back_size, chosen``, one row per line of each
+    distinct document.
 
-    ``long_lines`` are the hashes of the lines that start within ``min_words`` words from the
-    line on; ``long_hash`` names them if they make a whole long gram. ``chosen`` is the fingerprint
-    (hash, line) of the window that starts at the line.
+    ``long_hash`` names the long gram from the line on, of ``long_size`` lines, ``back_hash`` the
+    one up to the line, of ``back_size``; NULL if there is no whole one. ``chosen`` is the
+    fingerprint (hash, line) of the window that starts at the line.
     """
     short = min_words // 2
     window = min_words - short + 1
@@ -52,10 +54,11 @@ def line_table(documents: DataFrame, id_column: str, text_column: str, min_words
     in_order = Window.partitionBy("doc").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
     placed = lines.withColumn(
         "at", F.coalesce(F.sum("words").over(in_order), F.lit(0)).cast("long")
-    )
+    ).withColumn("through", F.col("at") + F.col("words"))
     by_words = Window.partitionBy("doc").orderBy("at")
     short_gram = by_words.rangeBetween(0, short - 1)
     long_gram = by_words.rangeBetween(0, min_words - 1)
+    back_gram = Window.partitionBy("doc").orderBy("through").rangeBetween(1 - min_words, 0)
     grams = placed.select(
         "doc", "line", "at",
         F.when(
@@ -64,11 +67,16 @@ def line_table(documents: DataFrame, id_column: str, text_column: str, min_words
         ).alias("short_hash"),
         F.collect_list("hash").over(long_gram).alias("long_lines"),
         (F.sum("words").over(long_gram) >= min_words).alias("is_long"),
+        F.collect_list("hash").over(back_gram).alias("back_lines"),
+        (F.sum("words").over(back_gram) >= min_words).alias("is_back"),
     )
     candidate = F.when(F.col("short_hash").isNotNull(), F.struct("short_hash", "line"))
     return grams.select(
-        "doc", "line", "long_lines",
+        "doc", "line",
         F.when(F.col("is_long"), F.xxhash64("long_lines")).alias("long_hash"),
+        F.size("long_lines").alias("long_size"),
+        F.when(F.col("is_back"), F.xxhash64("back_lines")).alias("back_hash"),
+        F.size("back_lines").alias("back_size"),
         F.min(candidate).over(by_words.rangeBetween(0, window - 1)).alias("chosen"),
     )
 
@@ -84,58 +92,28 @@ def shared_fingerprints(lines: DataFrame) -> DataFrame:
     return prints.join(often, "print", "left_semi").select("doc").distinct()
 
 
-def common_start(left: Column, right: Column) -> Column:
-    """How many elements two arrays have in common from their start; 0 for a NULL array."""
-    same = F.zip_with(left, right, lambda a, b: a.eqNullSafe(b))
-    first_other = F.array_position(same, F.lit(False))
-    count = F.when(first_other > 0, first_other - 1).otherwise(F.size(same).cast("long"))
-    return F.when(left.isNull() | right.isNull(), F.lit(0).cast("long")).otherwise(count)
-
-
 def repeated_lines(lines: DataFrame) -> DataFrame:
     """``doc, gone``: the sorted numbers of the lines that repeat an earlier run."""
+    found = lines.join(shared_fingerprints(lines), "doc", "left_semi")
+    # The shortest runs from a line on cover a run but for its end, those up to a line its end.
     grams = stored(
-        lines.join(shared_fingerprints(lines), "doc", "left_semi").select(
-            "doc", "line", "long_hash", "long_lines"
-        ),
+        found.where("long_hash IS NOT NULL").select(
+            "doc", "line", F.col("long_hash").alias("gram"), F.col("long_size").alias("length")
+        ).union(found.where("back_hash IS NOT NULL").select(
+            "doc", F.col("line") - F.col("back_size") + 1, "back_hash", "back_size"
+        )),
         "lines-shared",
     )
     # Written, so that the join's both sides are plain scans and a hot gram's partition is split.
     firsts = stored(
-        grams.where("long_hash IS NOT NULL").groupBy("long_hash").agg(
-            F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("places")
-        ).where("places > 1").select("long_hash", "first"),
+        grams.groupBy("gram").agg(
+            F.min(F.struct("doc", "line")).alias("first"),
+            F.max(F.struct("doc", "line")).alias("last"),
+        ).where("first <> last").select("gram", "first"),
         "lines-first",
     )
-    matches = grams.join(firsts, "long_hash").where(
-        F.struct("doc", "line") != F.col("first")
-    ).select(
-        "doc", "line", F.size("long_lines").alias("length"),
-        F.col("first.doc").alias("first_doc"), F.col("first.line").alias("first_line"),
-    )
-    # A run's earlier lines start long grams of their own, so it is extended before by those;
-    # behind the last whole gram fewer than min_words words are left, which one list holds.
-    behind = grams.select(
-        F.col("doc").alias("behind_doc"), F.col("line").alias("behind_line"), "long_lines"
-    )
-    own = behind.select("behind_doc", "behind_line", F.col("long_lines").alias("own_lines"))
-    extended = (
-        matches.join(
-            own, (F.col("doc") == F.col("behind_doc"))
-            & (F.col("line") + F.col("length") == F.col("behind_line")), "left",
-        ).drop("behind_doc", "behind_line")
-        .join(
-            behind, (F.col("first_doc") == F.col("behind_doc"))
-            & (F.col("first_line") + F.col("length") == F.col("behind_line")), "left",
-        )
-        .select(
-            "doc", "line",
-            (F.col("line") + F.col("length") - 1
-             + common_start(F.col("own_lines"), F.col("long_lines")).cast("int")).alias("last"),
-        )
-    )
-    return extended.select(
-        "doc", F.explode(F.sequence("line", "last")).alias("line")
+    return grams.join(firsts, "gram").where(F.struct("doc", "line") != F.col("first")).select(
+        "doc", F.explode(F.sequence("line", F.col("line") + F.col("length") - 1)).alias("line")
     ).distinct().groupBy("doc").agg(F.array_sort(F.collect_list("line")).alias("gone"))
 
 

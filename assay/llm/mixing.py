@@ -127,8 +127,9 @@ def mix_sources(
 
     ``mix_position`` lies in [0, 1); sorted by it, every stretch of the result holds the sources in
     their weights. Whole passes take every document; the last, partial one takes whole blocks in
-    the pass's order and of the block in which the budget ends the documents that fit, in hash
-    order. A NULL source is a source of its own. ``tokens`` is the size of a document, its words if
+    the pass's order and of the block in which the budget ends documents in hash order up to
+    the first that does not fit, then the others by size as long as they fit; those larger than the
+    room are left out. A NULL source is a source of its own. ``tokens`` is the size of a document, its words if
     not given. Documents without tokens weigh nothing and come once; so do all documents if no
     source has tokens. Repeated rows are rows of their own, but rows equal in id, source and text
     stay or go together. With ``budget_tokens`` a source may be passed less than once.
@@ -207,11 +208,21 @@ def mix_sources(
         F.col("take.mix_position").alias("mix_position"),
     ]
     in_whole = met.select("*", F.explode("whole").alias("take")).select(*result)
-    # Only the blocks in which a budget ends are put in order, by document name.
-    ordered = Window.partitionBy("source", "block", "take.mix_pass").orderBy("name").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    # Only the blocks in which a budget ends are put in order. Rows of one name go together.
+    cut_block = Window.partitionBy("source", "block", "take.mix_pass")
+    room = F.col("take.room")
     in_part = met.select("*", F.explode("cut").alias("take")).withColumn(
-        "through", F.sum("tokens").over(ordered)
-    ).where(F.col("through") <= F.col("take.room")).select(*result)
+        "unit", F.sum("tokens").over(cut_block.orderBy("name").rangeBetween(0, 0))
+    ).withColumn(
+        "early", F.coalesce(F.sum(F.when(F.col("unit") <= room, F.col("tokens"))).over(
+            cut_block.orderBy("name").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        ) <= room, F.lit(False)) & (F.col("unit") <= room)
+    ).withColumn(
+        "through", F.sum("tokens").over(
+            cut_block.orderBy(
+                F.col("early").desc(), F.when(F.col("early"), F.lit(0)).otherwise(F.col("unit")),
+                "name",
+            ).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+    ).where(F.col("through") <= room).select(*result)
     return in_whole.unionByName(in_part)

@@ -1,7 +1,6 @@
 """The last, partial pass over a source, and the order of the mixture."""
 
-from pyspark.sql import functions as F
-
+import corpus_pipeline
 from assay.llm import mixing
 
 SCHEMA = "doc_id long, text string, source string"
@@ -18,3 +17,23 @@ def test_documents_that_do_not_fit_shut_out_no_others(spark):
         taken = sum(r["mix_tokens"] for r in found)
         assert budget - 6 < taken <= budget < total
         assert len({r["doc_id"] for r in found}) == len(found)
+
+
+def test_the_pipeline_s_mixture_is_in_order(spark):
+    rows = [(i, " ".join([f"w{i}"] * 9), "abc"[i % 11 % 3]) for i in range(150)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    mixed = mixing.mix_sources(docs, max_passes=2.0).collect()
+    places = sorted(
+        (r["mix_position"], r["mix_pass"], r["source"]) for r in mixed
+    )
+    found = corpus_pipeline.mixing(spark, docs, "")
+    assert found.columns == docs.columns
+    sources = [r["source"] for r in found.collect()]
+    assert len(sources) == len(places)
+    seen = {}
+    for position, mix_pass, source in places:
+        seen.setdefault((position, mix_pass), []).append(source)
+    at = 0
+    for stretch in seen.values():
+        assert sorted(sources[at: at + len(stretch)]) == sorted(stretch)
+        at += len(stretch)

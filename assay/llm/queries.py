@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.llm import fixed_values
+from assay.llm.alignment import align_tokenizers
 from assay.llm.ann import search_neighbours
+from assay.llm.chunk_reuse import decoded, encode_documents
+from assay.llm.hard_negatives import mine_hard_negatives
 from assay.llm.line_dedup import dedup_lines
 from assay.llm.mixing import mix_sources
 from assay.llm.ngram_join import near_duplicates
@@ -33,6 +36,11 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_file() -> str:
+    """Model file of the public SentencePiece tokenizer."""
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -113,6 +121,27 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label
+    )
+
+
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_file()
+    return encode_documents(table(spark, sf_dir, "documents"), path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(decoded(F.col("ids"), path).cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(
+        table(spark, sf_dir, "documents"), tokenizer_file(), piece_file(), digest=True
+    ).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
@@ -124,6 +153,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_bpe_codec": op12_bpe_codec,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 SQL = {
@@ -172,4 +204,32 @@ SQL = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_hard_negatives": """
+        WITH usable AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND label IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS anchor_id, r.vec_id AS vec_id, q.label = r.label AS same,
+                   list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * r.v[i]))::BIGINT
+                       AS score
+            FROM usable q JOIN usable r ON q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+            FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        ), negatives AS (
+            SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.positive_score,
+                   n.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+                                      ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+            FROM positives p JOIN scored n
+              ON n.anchor_id = p.anchor_id AND NOT n.same
+             AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+        FROM negatives WHERE rank <= 10
+    """,
 }

@@ -6,6 +6,7 @@
     python -m assay --root data refine [table ...]
     python -m assay --root data summarise
     python -m assay --root data run [--new-files-only]
+    python -m assay --root data refresh
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from assay.plans.bronze import inspect_bronze
 from assay.plans.clock import Clock
 from assay.plans.generate import land_generated, people_from_range
 from assay.plans.medallion import (
-    ALL, Layout, bronze_tables, ingest_landed, refine_bronze, run,
+    ALL, Layout, bronze_tables, ingest_landed, refine_bronze, run, run_refresh,
 )
+from assay.plans.refresh import SHARDS
 from assay.plans.silver import SilverTables
 from assay.session import build_session
 from assay.sources.specs import REPORTED
@@ -44,6 +46,8 @@ def arguments(words: Sequence[str] | None = None) -> argparse.Namespace:
     jobs.add_parser("summarise", help="write and show the gold tables")
     whole = jobs.add_parser("run", help="ingest, refine and summarise")
     whole.add_argument("--new-files-only", action="store_true", help="read each file once")
+    changed = jobs.add_parser("refresh", help="the same over new files and changed keys only")
+    changed.add_argument("--shards", type=int, default=SHARDS, help="of the first refresh")
     options = parser.parse_args(words)
     unknown = sorted(set(getattr(options, "tables", ())) - set(ALL))
     if unknown:
@@ -82,6 +86,9 @@ def execute(spark: SparkSession, options: argparse.Namespace) -> None:
         tables = SilverTables(spark, layout.silver)
         gold.write_gold(spark, layout.bronze, tables, layout.gold, clock)
         show_gold(spark, layout)
+    elif options.job == "refresh":
+        run_refresh(spark, layout, clock, options.shards)
+        show_gold(spark, layout)
     else:
         run(spark, layout, clock, options.new_files_only)
         show_gold(spark, layout)

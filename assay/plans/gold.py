@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,23 @@ ZERO_WHEN_ABSENT = {
 }
 
 
+def customer_base(customers: DataFrame) -> DataFrame:
+    return customers.select(
+        "customer_id", "first_name", "last_name", "email", "gender", "status", "signup_date"
+    )
+
+
+# What the snapshot takes from each silver table, one row per customer, in the order of its columns.
+SIDES = MappingProxyType({
+    "customers": customer_base,
+    "addresses": summaries.primary_address,
+    "orders": summaries.order_summary,
+    "payments": summaries.payment_summary,
+    "support_tickets": summaries.support_summary,
+    "loyalty_accounts": summaries.loyalty_per_customer,
+})
+
+
 def customer_snapshot(silver: Mapping[str, DataFrame], clock: Clock = NOW) -> DataFrame:
     """One row per valid customer with address, order, payment, ticket and loyalty facts.
 
@@ -34,17 +52,15 @@ def customer_snapshot(silver: Mapping[str, DataFrame], clock: Clock = NOW) -> Da
     aggregation on the map side. All six inputs then meet on one hash partitioning of
     ``customer_id``: each is shuffled once, and no join sees a skewed key.
     """
-    snapshot = silver["customers"].select(
-        "customer_id", "first_name", "last_name", "email", "gender", "status", "signup_date"
-    )
-    for side in (
-        summaries.primary_address(silver["addresses"]),
-        summaries.order_summary(silver["orders"]),
-        summaries.payment_summary(silver["payments"]),
-        summaries.support_summary(silver["support_tickets"]),
-        summaries.loyalty_per_customer(silver["loyalty_accounts"]),
-    ):
-        snapshot = snapshot.join(side, on="customer_id", how="left")
+    sides = {name: summarise(silver[name]) for name, summarise in SIDES.items()}
+    return assembled(sides, clock)
+
+
+def assembled(sides: Mapping[str, DataFrame], clock: Clock = NOW) -> DataFrame:
+    """The snapshot from tables of one row per customer; the customers' own decides who is in it."""
+    snapshot = sides["customers"]
+    for name in list(SIDES)[1:]:
+        snapshot = snapshot.join(sides[name], on="customer_id", how="left")
     filled = {
         name: F.coalesce(F.col(name), F.lit(zero)) for name, zero in ZERO_WHEN_ABSENT.items()
     }
@@ -183,9 +199,17 @@ def run_report(
 def write_gold(
     spark: SparkSession, bronze: str, silver: SilverTables, gold: str, clock: Clock = NOW
 ) -> None:
-    """Write the three gold tables. The KPIs read the written snapshot, not its plan."""
+    """Write the three gold tables from silver."""
     valid = {spec.name: silver.valid(spec.name) for spec in REPORTED}
-    write_table(customer_snapshot(valid, clock), f"{gold}/customer_snapshot")
+    write_summaries(spark, customer_snapshot(valid, clock), bronze, silver, gold, clock)
+
+
+def write_summaries(
+    spark: SparkSession, snapshot: DataFrame, bronze: str, silver: SilverTables, gold: str,
+    clock: Clock = NOW,
+) -> None:
+    """Write the three gold tables. The KPIs read the written snapshot, not its plan."""
+    write_table(snapshot, f"{gold}/customer_snapshot")
     snapshot = spark.read.parquet(f"{gold}/customer_snapshot")
     write_table(kpi_summary(snapshot, clock), f"{gold}/kpi_summary")
     counts = quality_counts(spark, dq_tables(spark, bronze, silver))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from assay.plans.bronze import ingest_all
 from assay.plans.clock import NOW, Clock
-from assay.plans.gold import write_gold
+from assay.plans.customer_facts import CustomerFacts, refresh_facts, snapshot_from_facts
+from assay.plans.gold import write_gold, write_summaries
+from assay.plans.refresh import SHARDS, ShardedSilver, refresh_silver
 from assay.plans.silver import SilverTables, refine_all
 from assay.sources.specs import BY_NAME, SOURCES
 from assay.streaming.ingest import ingest_new
@@ -39,6 +41,18 @@ class Layout:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def sharded_silver(self) -> str:
+        return f"{self.root}/silver_sharded"
+
+    @property
+    def customer_facts(self) -> str:
+        return f"{self.root}/customer_facts"
+
+    @property
+    def refreshes(self) -> str:
+        return f"{self.root}/metadata/refreshes"
+
     @property
     def manifests(self) -> str:
         return f"{self.root}/metadata/ingested_files"
@@ -88,3 +102,35 @@ def run(
     ingest_landed(spark, layout, clock, new_files_only)
     silver = refine_bronze(spark, layout, clock)
     write_gold(spark, layout.bronze, silver, layout.gold, clock)
+
+
+def refresh(
+    spark: SparkSession,
+    layout: Layout,
+    clock: Clock = NOW,
+    clocks: Mapping[str, Clock] | None = None,
+    shards: int = SHARDS,
+) -> tuple[ShardedSilver, CustomerFacts]:
+    """Bring sharded silver and the customer facts up to date with the ingested batches.
+
+    Work follows the new batches and what they touch. ``clocks`` pins the days of single tables.
+    ``shards`` counts for the first run; later ones keep it.
+    """
+    clocks = {name: clock for name in ALL} | dict(clocks or {})
+    silver = refresh_silver(
+        spark, layout.bronze, layout.manifests, layout.sharded_silver, layout.refreshes, clocks,
+        shards,
+    )
+    facts = CustomerFacts(spark, layout.customer_facts, shards)
+    refresh_facts(silver, facts, layout.refreshes)
+    return silver, facts
+
+
+def run_refresh(
+    spark: SparkSession, layout: Layout, clock: Clock = NOW, shards: int = SHARDS
+) -> None:
+    """Landing to gold over new files and changed keys only."""
+    ingest_landed(spark, layout, clock, new_files_only=True)
+    silver, facts = refresh(spark, layout, clock, shards=shards)
+    snapshot = snapshot_from_facts(facts, clock)
+    write_summaries(spark, snapshot, layout.bronze, silver, layout.gold, clock)

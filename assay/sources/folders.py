@@ -37,6 +37,19 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, target = located(spark, path)
+    system.mkdirs(target)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly in a folder."""
+    system, target = located(spark, path)
+    return sorted(
+        entry.getPath().getName() for entry in system.listStatus(target) if entry.isDirectory()
+    )
+
+
 def data_files(spark: SparkSession, path: str) -> tuple[int, int]:
     """Number and bytes of the files directly in a folder, markers and check sums left out."""
     system, target = located(spark, path)

@@ -62,6 +62,10 @@ class Manifest:
     def batch_files(self, batch_id: str) -> DataFrame:
         return self._table(self.planned, PLANNED).where(F.col("batch_id") == batch_id)
 
+    def finished_batches(self) -> DataFrame:
+        """Batches whose rows are in bronze, as far as they were marked."""
+        return self._table(self.finished, FINISHED).select("batch_id").distinct()
+
     def finish(self, batch_id: str) -> None:
         row = self.spark.range(0, 1, 1, 1).select(F.lit(batch_id).alias("batch_id"))
         row.write.mode("append").parquet(self.finished)

@@ -244,13 +244,14 @@ def processed(name: str) -> str:
     return f"'{DAYS[name]} 00:00:00' AS _silver_processed_at"
 
 
-def side(name: str, valid: bool) -> str:
+def side(name: str, valid: bool | None) -> str:
+    """Graded rows: the valid, the rejected, or with None both."""
     flags = [FUTURE[name][0], "_is_valid"]
     if name != "customers":
         flags.append("customer_exists")
     if name == "payments":
         flags.append("order_exists")
-    keep = "_is_valid" if valid else "NOT _is_valid"
+    keep = {True: "_is_valid", False: "NOT _is_valid", None: "TRUE"}[valid]
     return f"""{ctes(lineage(name))}
         SELECT {business(name)}, {processed(name)}, {', '.join(map(as_text, flags))},
         _rejection_reason FROM graded_{name} WHERE {keep}"""
@@ -277,6 +278,7 @@ def silver_queries() -> dict[str, str]:
             FROM dedup_{name}"""
         queries[f"silver_{name}"] = side(name, True)
         queries[f"rejected_{name}"] = side(name, False)
+        queries[f"refreshed_{name}"] = side(name, None)
     for name in CHILDREN:
         columns = ["customer_id", as_text("customer_exists")]
         if name == "payments":
@@ -382,6 +384,7 @@ def gold_queries() -> dict[str, str]:
         "payment_summary": f"{ctes(lineage('payments'))} {PAYMENT_SUMMARY}",
         "support_summary": f"{ctes(lineage('support_tickets'))} {SUPPORT_SUMMARY}",
         "customer_snapshot": f"{everything} {SNAPSHOT}",
+        "refreshed_snapshot": f"{everything} {SNAPSHOT}",
         "kpi_summary": kpis,
         "landed_kpis": kpis,
         "dq_summary": f"{everything} {quality(NAMES)}",

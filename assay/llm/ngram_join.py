@@ -21,11 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.llm.components import connected_components
-from assay.llm.shared import stored
+from assay.llm.shared import all_columns, stored, unused
 
 WORD = re.compile(r"\w+")
 SHINGLE_WORDS = 5
@@ -39,6 +39,7 @@ TILE_NODES = 256
 REMEMBERED = 300_000
 SHINGLES_A_STEP = 1 << 13
 DOCUMENTS_A_STEP = 256
+NUMBER_BUCKETS = 256
 
 
 class WordHashes(dict):
@@ -497,15 +498,73 @@ def near_duplicates(
     return members.join(classes, "words_key").select("doc_id", "class_id", "links", "copies")
 
 
+def text_key(text: Column) -> Column:
+    """128 bits of a text; NULL has a key of its own."""
+    return F.md5(F.coalesce(F.concat(F.lit("="), text), F.lit("")))
+
+
+def further_texts(documents: DataFrame) -> DataFrame:
+    """``doc_id, text_key, node``: the texts of an id beyond the one with the smallest key, each
+    with a number of its own above all ids."""
+    keyed = documents.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key")
+    )
+    several = stored(
+        keyed.groupBy("doc_id").agg(
+            F.min("text_key").alias("first"), F.max("text_key").alias("last")
+        ).where("first <> last").select("doc_id", "first"),
+        "several-texts",
+    )
+    others = stored(
+        keyed.join(several, "doc_id").where("text_key <> first").select("doc_id", "text_key")
+        .distinct().withColumn(
+            "bucket", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(NUMBER_BUCKETS))
+        ),
+        "further-texts",
+    )
+    # At most NUMBER_BUCKETS rows.
+    sizes = {row["bucket"]: row["count"] for row in others.groupBy("bucket").count().collect()}
+    top = documents.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0
+    if top + sum(sizes.values()) >= 2 ** 63:
+        raise ValueError("ids are too large to number the further texts of ids with several")
+    before, starts = top, []
+    for bucket in range(NUMBER_BUCKETS):
+        starts.append(before)
+        before += sizes.get(bucket, 0)
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("doc_id", "text_key"))
+    start = F.element_at(F.array(*map(F.lit, starts)), F.col("bucket").cast("int") + 1)
+    return others.select(
+        "doc_id", "text_key", (start.cast("long") + place).alias("node")
+    )
+
+
 def keep_one_of_each(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows whose id names their class, once each; rows without id stay."""
-    members, leaders, _, groups = linked_nodes(documents, similarity, TARGET_RECALL)
+    """The rows whose text names its class, once each, with all columns.
+
+    Classes are those of ``near_duplicates``, but every text of an id is judged by itself: of a
+    class the row with the smallest id stays. Texts of an id beyond one come after all ids. Rows
+    equal in id and text stay once, whichever their other columns; rows without id stay. NULL and
+    empty texts are copies of each other. Other columns may have any name. No rows: no result.
+    """
+    found = stored(further_texts(documents), "further-nodes")
+    id_name, key_name = unused(documents, "own_id"), unused(documents, "own_key")
+    own = documents.withColumns({
+        id_name: F.col("doc_id").cast("long"), key_name: text_key(F.col("text"))
+    })
+    named = own.where(F.col(id_name).isNotNull())
+    judged = documents
+    if not found.isEmpty():
+        names = found.toDF(id_name, key_name, node_name := unused(own, "own_node"))
+        named = named.join(names, [id_name, key_name], "left").withColumn(
+            id_name, F.coalesce(node_name, id_name)
+        )
+        judged = stored(named.select(F.col(id_name).alias("doc_id"), "text"), "texts-by-node")
+    members, leaders, _, groups = linked_nodes(judged, similarity, TARGET_RECALL)
     kept = members.join(classes_of(leaders, groups), "words_key").where(
         "doc_id = class_id"
-    ).select(F.col("doc_id").alias("_kept"))
-    columns = documents.columns
-    own = documents.withColumn("_text_key", F.xxhash64("text"))
-    named = own.where("doc_id IS NOT NULL").join(
-        kept, F.col("doc_id") == F.col("_kept"), "left_semi"
-    ).dropDuplicates(["doc_id", "_text_key"])
-    return named.unionByName(own.where("doc_id IS NULL")).select(*columns)
+    ).select(F.col("doc_id").alias(id_name))
+    columns = all_columns(documents)
+    once = named.join(kept, id_name, "left_semi").dropDuplicates([id_name])
+    return once.select(*columns).unionByName(
+        own.where(F.col(id_name).isNull()).select(*columns)
+    )

@@ -25,6 +25,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return written(df, f"{new_run_root(df.sparkSession, purpose)}/table")
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have, in any case of letters."""
+    taken = {name.lower() for name in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def all_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever characters are in their names."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
     """File system of a path or URI and the path in it, on the driver or in a task."""
     if "://" in path or path.startswith("file:"):

@@ -7,9 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from assay.llm import hard_negatives as mining
-from assay.llm.queries import SQL, op11_hard_negatives
 from assay.llm.shared import ship_package
-from checks.compare import connect, differences
 
 SCHEMA = "vec_id long, embedding array<float>, label int, part string, score string, slot int"
 
@@ -83,11 +81,6 @@ def test_equals_brute_force(spark, bucket):
     assert sorted(map(tuple, found.collect())) == brute_force(rows, lambda i: i % 10 == 0)
 
 
-def test_query_equals_its_sql(spark, sf_dir):
-    sql = SQL["op11_hard_negatives"]
-    assert differences(op11_hard_negatives(spark, sf_dir), connect(sf_dir), sql) == []
-
-
 def test_without_rows_anchors_or_partners(spark):
     def mined(rows):
         return mining.mine_hard_negatives(

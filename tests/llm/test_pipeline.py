@@ -16,7 +16,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     names = entry_points.queries()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in names) == 1
     assert "pipeline" in names and corpus_pipeline.ORACLE_SQL is None
 

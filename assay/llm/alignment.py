@@ -31,6 +31,7 @@ from assay.llm.tokens import encoder
 
 BLOCK_LINKS = 2_000_000
 TEXTS_A_CALL = 256
+TOKENS_A_STEP = 1 << 18
 END_BYTES = 4
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -50,16 +51,16 @@ RESULT = (
 
 
 def equal_run(a: bytes, b: bytes, start: int, shift: int, end: int) -> int:
-    """How many bytes of ends from ``start`` on are the same in ``b`` at this shift: runs are
-    doubled until one differs, and the run that differs is halved."""
-    at, size = start, END_BYTES
+    """How many bytes of ends from ``start`` on are the same in ``b`` at this shift; the first end
+    is. Runs are doubled until one differs, and the run that differs is halved."""
+    at, size = start + END_BYTES, END_BYTES
     while at < end and a[at: at + size] == b[at + shift: at + shift + size]:
         at += size
-        size *= 2
+        size += size
     if at >= end:
         return end - start
     while size > END_BYTES:
-        size //= 2
+        size >>= 1
         if a[at: at + size] == b[at + shift: at + shift + size]:
             at += size
     return at - start
@@ -67,68 +68,49 @@ def equal_run(a: bytes, b: bytes, start: int, shift: int, end: int) -> int:
 
 @dataclass
 class Alignment:
-    """Stretches of one-to-one groups and the other groups, in the order of the text.
+    """Links of tokens of A with tokens of B whose bytes overlap, as positions: those of one-to-one
+    stretches (first token of A, first of B, length), and those of the other groups one by one."""
 
-    ``stretches`` holds (first token of A, first of B, groups) and ``irregular`` the links of the
-    other groups; ``steps`` says what comes next: a stretch's number, or the first link of an
-    irregular group as -1 - place.
-    """
-
-    stretches: list[tuple[int, int, int]]
-    irregular: list[tuple[int, int]]
-    steps: list[int]
+    starts_a: list[int]
+    starts_b: list[int]
+    lengths: list[int]
+    irregular_a: list[int]
+    irregular_b: list[int]
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """Every pair of tokens whose bytes overlap, as positions in A and in B."""
-        runs = np.array(self.stretches, np.int64).reshape(-1, 3)
-        pairs = np.array(self.irregular, np.int64).reshape(-1, 2)
-        lengths = runs[:, 2]
+        """Every link, in no order."""
+        lengths = np.array(self.lengths, np.int64)
         inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        return (
-            np.concatenate([np.repeat(runs[:, 0], lengths) + inside, pairs[:, 0]]),
-            np.concatenate([np.repeat(runs[:, 1], lengths) + inside, pairs[:, 1]]),
+        return tuple(
+            np.concatenate([np.repeat(np.array(starts, np.int64), lengths) + inside,
+                            np.array(irregular, np.int64)])
+            for starts, irregular in (
+                (self.starts_a, self.irregular_a), (self.starts_b, self.irregular_b)
+            )
         )
 
-    def described(self, a: list[str], b: list[str]) -> tuple[int, str]:
-        """Number of groups, and the groups as ``a1,a2|b1;a3|b2,b3``; the names in ``a`` end with
-        the bar that follows the last of a group, those in ``b`` with the semicolon."""
-        links, groups, found = self.irregular, 0, []
-        starts = [-1 - step for step in self.steps if step < 0]
-        ends = dict(zip(starts, [*starts[1:], len(links)]))
-        for step in self.steps:
-            if step >= 0:
-                i, j, run = self.stretches[step]
-                pairs = [""] * (2 * run)
-                pairs[::2], pairs[1::2] = a[i: i + run], b[j: j + run]
-                found += pairs
-                groups += run
-            else:
-                (i, j), (k, m) = links[-1 - step], links[ends[-1 - step] - 1]
-                found += [name[:-1] + "," for name in a[i:k]]
-                found.append(a[k])
-                found += [name[:-1] + "," for name in b[j:m]]
-                found.append(b[m])
-                groups += 1
-        return groups, "".join(found)[:-1]
-
 
 def align(ends_a: np.ndarray, ends_b: np.ndarray) -> Alignment:
     """Align two ascending arrays of ends with the same last end."""
     a, b = ends_a.astype("<u4").tobytes(), ends_b.astype("<u4").tobytes()
     list_a, list_b = ends_a.tolist(), ends_b.tolist()
-    stretches, irregular, steps = [], [], []
+    found = Alignment([], [], [], [], [])
+    start_a, start_b = found.starts_a.append, found.starts_b.append
+    length, other_a, other_b = found.lengths.append, found.irregular_a.append, found.irregular_b.append
     i, j, size_a, size_b = 0, 0, len(list_a), len(list_b)
     while i < size_a:
         x, y = list_a[i], list_b[j]
         if x == y:
             end = END_BYTES * (i + min(size_a - i, size_b - j))
-            groups = equal_run(a, b, END_BYTES * i, END_BYTES * (j - i), end) // END_BYTES
-            steps.append(len(stretches))
-            stretches.append((i, j, groups))
-            i, j = i + groups, j + groups
+            run = equal_run(a, b, END_BYTES * i, END_BYTES * (j - i), end) // END_BYTES
+            start_a(i)
+            start_b(j)
+            length(run)
+            i += run
+            j += run
             continue
-        steps.append(-1 - len(irregular))
-        irregular.append((i, j))
+        other_a(i)
+        other_b(j)
         while x != y:
             if x < y:
                 i += 1
@@ -136,9 +118,62 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> Alignment:
             else:
                 j += 1
                 y = list_b[j]
-            irregular.append((i, j))
-        i, j = i + 1, j + 1
-    return Alignment(stretches, irregular, steps)
+            other_a(i)
+            other_b(j)
+        i += 1
+        j += 1
+    return found
+
+
+class Names:
+    """Decimal ids with what follows them: a comma inside a group, a bar after its last A, a
+    semicolon after its last B."""
+
+    def __init__(self, size_a: int, size_b: int):
+        self.last_a, self.inner_b = size_a, 2 * size_a
+        self.last_b = self.inner_b + size_b
+        # Shorter names are filled up with zero bytes, which are taken out of the whole.
+        self.table = np.array([
+            f"{i}{mark}" for size, marks in ((size_a, ",|"), (size_b, ",;")) for mark in marks
+            for i in range(size)
+        ], dtype=np.bytes_)
+
+    def described(
+        self, ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray
+    ) -> bytes:
+        """The groups as ``a1,a2|b1;a3|b2,b3``, from which tokens are the last of their group."""
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        ends_a, ends_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+        codes = np.empty(len(ids_a) + len(ids_b), np.int64)
+        before_b = np.concatenate([[0], ends_b[:-1]])
+        codes[np.arange(len(ids_a)) + before_b[group_a]] = ids_a + last_a * self.last_a
+        codes[np.arange(len(ids_b)) + ends_a[group_b]] = (
+            ids_b + np.where(last_b, self.last_b, self.inner_b)
+        )
+        return self.table[codes].tobytes().translate(None, b"\0")[:-1]
+
+
+class Spelling:
+    """Bytes of a vocabulary's tokens, laid end to end."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.lengths = np.array([len(token) for token in tokens])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spells(self, ids: np.ndarray, text: bytes) -> bool:
+        if self.lengths[ids].sum() != len(text):
+            return False
+        done = 0
+        for at in range(0, len(ids), TOKENS_A_STEP):
+            part = ids[at: at + TOKENS_A_STEP]
+            lengths = self.lengths[part]
+            ends = np.cumsum(lengths)
+            places = np.repeat(self.starts[part] - ends + lengths, lengths) + np.arange(ends[-1])
+            if self.bytes[places].tobytes() != text[done: done + ends[-1]]:
+                return False
+            done += ends[-1]
+        return True
 
 
 class Aligner:
@@ -146,11 +181,10 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = encoder(path_a, "<u4"), PieceEncoder(path_b)
-        self.bytes_a, self.bytes_b = byte_level_tokens(path_a), self.b.id_bytes
-        self.length_a = np.array([len(token) for token in self.bytes_a])
-        self.length_b = np.array([len(token) for token in self.bytes_b])
-        self.name_a = [f"{i}|" for i in range(len(self.bytes_a))]
-        self.name_b = [f"{i};" for i in range(len(self.bytes_b))]
+        self.spelling_a = Spelling(byte_level_tokens(path_a))
+        self.spelling_b = Spelling(self.b.id_bytes)
+        self.radix = len(self.b.id_bytes)
+        self.names = Names(len(self.spelling_a.lengths), self.radix)
 
     def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """Ids by both; None where the tokens do not spell out the text."""
@@ -159,23 +193,27 @@ class Aligner:
             ids_a, ids_b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
             whole = text.encode()
             spelt = len(whole) > 1 and all(
-                b"".join(map(table.__getitem__, ids.tolist())) == whole
-                for table, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))
+                spelling.spells(ids, whole)
+                for spelling, ids in ((self.spelling_a, ids_a), (self.spelling_b, ids_b))
             )
             yield (ids_a, ids_b) if spelt else None
 
     def described(
         self, ids_a: np.ndarray, ids_b: np.ndarray
-    ) -> tuple[int, int, str, np.ndarray, np.ndarray]:
+    ) -> tuple[int, int, bytes, np.ndarray, np.ndarray]:
         """Groups, links, the groups' text, the linked pairs of ids, and the links of each."""
-        aligned = align(np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b]))
-        groups, text = aligned.described(
-            list(map(self.name_a.__getitem__, ids_a.tolist())),
-            list(map(self.name_b.__getitem__, ids_b.tolist())),
+        ends_a, ends_b = (
+            np.cumsum(spelling.lengths[ids])
+            for spelling, ids in ((self.spelling_a, ids_a), (self.spelling_b, ids_b))
         )
-        link_a, link_b = aligned.links()
-        pairs = ids_a[link_a].astype(np.int64) * len(self.bytes_b) + ids_b[link_b]
-        return groups, len(pairs), text, *np.unique(pairs, return_counts=True)
+        link_a, link_b = align(ends_a, ends_b).links()
+        closing = ends_a[link_a] == ends_b[link_b]
+        last_a, last_b = np.zeros(len(ids_a), bool), np.zeros(len(ids_b), bool)
+        last_a[link_a[closing]] = True
+        last_b[link_b[closing]] = True
+        text = self.names.described(ids_a, ids_b, last_a, last_b)
+        pairs = ids_a[link_a].astype(np.int64) * self.radix + ids_b[link_b]
+        return int(closing.sum()), len(pairs), text, *np.unique(pairs, return_counts=True)
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -226,7 +264,7 @@ def align_blocks(
     batches: Iterable[pa.RecordBatch], path_a: str, path_b: str, digest: bool, block_links: int
 ) -> Iterator[pa.RecordBatch]:
     worker = aligner(path_a, path_b)
-    radix, none = len(worker.bytes_b), np.empty(0, np.int64)
+    radix, none = worker.radix, np.empty(0, np.int64)
     number = TaskContext.get().partitionId() << 32
     block = Block(number, radix)
     for batch in batches:
@@ -239,7 +277,7 @@ def align_blocks(
                     block.add((name, 0, 0, 0, 0, ""), none, none)
                 else:
                     groups, links, text, pairs, repeats = worker.described(*found)
-                    text = hashlib.sha256(text.encode()).hexdigest() if digest else text
+                    text = hashlib.sha256(text).hexdigest() if digest else text.decode()
                     sizes = (len(found[0]), len(found[1]))
                     block.add((name, *sizes, groups, links, text), pairs, repeats)
                 if block.links >= block_links:

@@ -11,9 +11,20 @@ from assay.sources.fixed_values import (
 )
 
 
+def exact_sum(amount: Column) -> Column:
+    """Sum of doubles that is the same in whatever order tasks add them up.
+
+    They are added as decimals of ten places. Where one does not fit (28 digits before the point,
+    not a number, infinite), all are added as doubles.
+    """
+    decimal = amount.try_cast("decimal(38,10)")
+    exact = F.when(F.count(amount) == F.count(decimal), F.try_sum(decimal).cast("double"))
+    return F.coalesce(exact, F.sum(amount))
+
+
 def sum_where(condition: Column, amount: str) -> Column:
     """Sum of the amounts that satisfy the condition, 0 for rows that do not."""
-    return F.sum(F.when(condition, F.col(amount)).otherwise(F.lit(0)))
+    return exact_sum(F.when(condition, F.col(amount)).otherwise(F.lit(0.0)))
 
 
 def count_where(condition: Column, column: str) -> Column:

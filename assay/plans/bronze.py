@@ -16,7 +16,9 @@ from assay.plans.clock import NOW, Clock
 from assay.sources.fixed_values import INGESTION_LOG_SCHEMA
 from assay.sources.manifest import Manifest, landed_files
 from assay.sources.specs import SOURCES, SourceSpec
-from assay.sources.tables import literal_path, preview, read_csv, read_feed, table_profile
+from assay.sources.tables import (
+    append_packed, literal_path, preview, read_csv, read_feed, table_profile,
+)
 
 AUDIT_COLUMNS = ("_ingestion_timestamp", "_source_file", "_batch_id", "_record_hash")
 
@@ -44,7 +46,7 @@ def log_run(spark: SparkSession, log_path: str, **record: object) -> None:
     """Append one run to the ingestion log; unnamed columns are NULL."""
     schema = StructType.fromDDL(INGESTION_LOG_SCHEMA)
     row = tuple(record.get(name) for name in schema.fieldNames())
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(log_path)
+    append_packed(spark.createDataFrame([row], schema).coalesce(1), log_path)
 
 
 def logged(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from assay.operators import summaries
-from assay.operators.summaries import sum_flag
+from assay.operators.summaries import exact_sum, sum_flag
 from assay.plans.clock import NOW, Clock
 from assay.plans.silver import SilverTables
 from assay.sources.specs import REPORTED, SourceSpec
@@ -74,8 +74,10 @@ def kpi_summary(snapshot: DataFrame, clock: Clock = NOW) -> DataFrame:
         sum_flag(F.col("status") == "active").alias("active_customers"),
         sum_flag(F.col("status") == "blocked").alias("blocked_customers"),
         sum_flag(F.col("total_orders") > 0).alias("customers_with_orders"),
-        F.sum("total_revenue").alias("total_revenue"),
-        F.avg("total_revenue").alias("avg_customer_revenue"),
+        exact_sum(F.col("total_revenue")).alias("total_revenue"),
+        F.try_divide(
+            exact_sum(F.col("total_revenue")), F.count("total_revenue")
+        ).alias("avg_customer_revenue"),
         sum_flag(F.col("loyalty_tier").isNotNull()).alias("customers_with_loyalty"),
         F.sum("points_balance").alias("total_points_balance"),
         sum_flag(F.col("support_ticket_count") > 0).alias("customers_with_support_tickets"),

@@ -42,7 +42,7 @@ from assay.sources.shards import (
     SHARD, create_shards, in_shards, read_shards, replace_shards, roll_forward, shard_of,
 )
 from assay.sources.specs import BY_NAME, SourceSpec
-from assay.sources.tables import read_if_present
+from assay.sources.tables import append_packed, read_if_present, read_log, rows_of_batches
 
 SHARDS = 64
 LOG = "event STRING, source STRING, id STRING"
@@ -58,13 +58,12 @@ class RefreshLog:
         self.root = root
 
     def _events(self, owner: str, event: str) -> DataFrame:
-        rows = read_if_present(self.spark, f"{self.root}/log/{owner}")
-        rows = self.spark.createDataFrame([], LOG) if rows is None else rows
+        rows = read_log(self.spark, f"{self.root}/log/{owner}", LOG)
         return rows.where(F.col("event") == event).drop("event")
 
     def append(self, owner: str, events: Iterable[tuple[str, str, str]]) -> None:
-        rows = self.spark.createDataFrame(list(events), LOG)
-        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/log/{owner}")
+        rows = self.spark.createDataFrame(list(events), LOG).coalesce(1)
+        append_packed(rows, f"{self.root}/log/{owner}")
 
     def new_batches(self, spec: SourceSpec, manifests: str) -> list[str]:
         """Finished batches of a feed that its table has not seen; one name a run of ingestion."""
@@ -153,10 +152,8 @@ class Refresh:
 
 
 def fresh_versions(run: Refresh, spec: SourceSpec, batches: Sequence[str], clock: Clock) -> DataFrame:
-    """The latest version of each key in the batches. Every bronze file holds one batch, so files
-    of other batches are skipped by their statistics."""
-    bronze = run.spark.read.parquet(f"{run.bronze}/{spec.feed}")
-    rows = bronze.where(F.col("_batch_id").isin(list(batches)))
+    """The latest version of each key in the batches."""
+    rows = rows_of_batches(run.spark.read.parquet(f"{run.bronze}/{spec.feed}"), batches)
     return run.step(latest(standardise(rows, spec, clock), spec), spec.name, "fresh")
 
 

@@ -81,7 +81,8 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> Non
     ``write`` gets a folder beside ``path``. Only when it has returned is the old table set aside,
     the new one renamed to ``path``, and the old one removed. If it fails, ``path`` stays as it
     was. A driver that dies between the two renames leaves no table at ``path``, which readers
-    refuse, and the old one beside it under a name that starts with ``_old-``.
+    refuse, and the old one beside it under a name that starts with ``_old-``; ``restore`` puts it
+    back.
     """
     parent, _, name = path.rstrip("/").rpartition("/")
     mark = uuid.uuid4().hex
@@ -102,3 +103,17 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> Non
         raise
     if replaced:
         remove(spark, old)
+
+
+def restore(spark: SparkSession, path: str) -> bool:
+    """Put the old table back that a driver had set aside when it died; False if there is none.
+
+    Only for a table that one run writes at a time.
+    """
+    parent, _, name = path.rstrip("/").rpartition("/")
+    if exists(spark, path) or not exists(spark, parent):
+        return False
+    old = [folder for folder in subfolders(spark, parent) if folder.startswith(f"_old-{name}-")]
+    if old:
+        move(spark, f"{parent}/{old[0]}", path)
+    return bool(old)

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.sources.tables import feed_glob, read_if_present
+from assay.sources.tables import (
+    append_packed, feed_glob, read_if_present, read_log, rows_of_batches,
+)
 
 FILE_KEYS = ("path", "length", "modificationTime")
 PLANNED = "path STRING, length BIGINT, modificationTime TIMESTAMP, batch_id STRING"
@@ -31,41 +33,41 @@ class Manifest:
         self.planned = f"{root}/{feed}/planned"
         self.finished = f"{root}/{feed}/finished"
 
-    def _table(self, path: str, schema: str) -> DataFrame:
-        table = read_if_present(self.spark, path)
-        return self.spark.createDataFrame([], schema) if table is None else table
-
     def recover(self, bronze_table: str) -> None:
         """Mark the batches finished whose rows reached bronze before their run died."""
-        open_batches = self._table(self.planned, PLANNED).select("batch_id").distinct().join(
-            self._table(self.finished, FINISHED), "batch_id", "left_anti"
-        )
+        open_batches = self._planned().select("batch_id").distinct().join(
+            self._finished(), "batch_id", "left_anti"
+        ).collect()  # one name for each run that died since the last recovery
         rows = read_if_present(self.spark, bronze_table)
-        if rows is None or open_batches.isEmpty():
+        if rows is None or not open_batches:
             return
-        arrived = rows.select(F.col("_batch_id").alias("batch_id")).join(
-            open_batches, "batch_id", "left_semi"
+        arrived = rows_of_batches(rows, [row["batch_id"] for row in open_batches]).select(
+            F.col("_batch_id").alias("batch_id")
         ).distinct()
         if not arrived.isEmpty():
-            arrived.write.mode("append").parquet(self.finished)
+            append_packed(arrived, self.finished)
+
+    def _planned(self) -> DataFrame:
+        return read_log(self.spark, self.planned, PLANNED)
+
+    def _finished(self) -> DataFrame:
+        return read_log(self.spark, self.finished, FINISHED)
 
     def new_files(self, landed: DataFrame) -> DataFrame:
         """The landed files that no finished batch has read, whatever their age."""
-        done = self._table(self.planned, PLANNED).join(
-            self._table(self.finished, FINISHED), "batch_id", "left_semi"
-        )
+        done = self._planned().join(self._finished(), "batch_id", "left_semi")
         return landed.join(done.select(*FILE_KEYS).distinct(), list(FILE_KEYS), "left_anti")
 
     def plan(self, files: DataFrame, batch_id: str) -> None:
-        files.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(self.planned)
+        append_packed(files.withColumn("batch_id", F.lit(batch_id)), self.planned)
 
     def batch_files(self, batch_id: str) -> DataFrame:
-        return self._table(self.planned, PLANNED).where(F.col("batch_id") == batch_id)
+        return self._planned().where(F.col("batch_id") == batch_id)
 
     def finished_batches(self) -> DataFrame:
         """Batches whose rows are in bronze, as far as they were marked."""
-        return self._table(self.finished, FINISHED).select("batch_id").distinct()
+        return self._finished().select("batch_id").distinct()
 
     def finish(self, batch_id: str) -> None:
         row = self.spark.range(0, 1, 1, 1).select(F.lit(batch_id).alias("batch_id"))
-        row.write.mode("append").parquet(self.finished)
+        append_packed(row, self.finished)

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from assay.operators.quality import rejected, valid
-from assay.sources.folders import data_files, exists, move, publish, remove, require_committed
+from assay.sources.folders import (
+    data_files, exists, move, publish, remove, require_committed, restore,
+)
 
 CONCURRENT_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 FILE_BYTES = 128 << 20
@@ -72,6 +74,14 @@ def read_latest_drop(
     return read_csv(spark, latest_drop(spark, landing, feed), schema)
 
 
+# --- bronze ----------------------------------------------------------------------------------
+
+def rows_of_batches(bronze: DataFrame, batches: Iterable[str]) -> DataFrame:
+    """The rows of some batches. A bronze file holds rows of one batch, so the scan skips the files
+    of all others by their statistics, without reading a row of them."""
+    return bronze.where(F.col("_batch_id").isin(list(batches)))
+
+
 # --- silver ----------------------------------------------------------------------------------
 
 def write_graded(graded: DataFrame, path: str) -> None:
@@ -104,6 +114,31 @@ def compact(spark: SparkSession, path: str) -> None:
         move(spark, packed, path)
 
 
+def append_packed(rows: DataFrame, path: str) -> None:
+    """Append the few rows of one event to a log that one run writes at a time.
+
+    A log whose files are far more than its bytes need is written anew as a whole, so that the
+    number of its files follows its bytes and not the number of runs.
+    """
+    spark = rows.sparkSession
+    restore(spark, path)
+    rows.write.mode("append").parquet(path)
+    files, size = data_files(spark, path)
+    needed = max(1, -(-size // FILE_BYTES))
+    if files > MOST_FILES_PER_NEEDED * needed:
+        publish(
+            spark, path,
+            lambda staged: spark.read.parquet(path).coalesce(needed).write.parquet(staged),
+        )
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All rows of such a log; none before its first event."""
+    restore(spark, path)
+    rows = read_if_present(spark, path, StructType.fromDDL(schema))
+    return spark.createDataFrame([], schema) if rows is None else rows
+
+
 def read_graded(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Both sides, columns in the order they were graded in."""
     require_committed(spark, path)

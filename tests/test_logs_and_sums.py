@@ -1,0 +1,112 @@
+"""Logs whose files follow their bytes, tables put back after a crash, sums free of task order."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from assay.operators.summaries import exact_sum, order_summary
+from assay.plans import gold
+from assay.sources import folders
+from assay.sources.manifest import Manifest
+from assay.sources.tables import (
+    MOST_FILES_PER_NEEDED, append_packed, read_log, rows_of_batches, write_table,
+)
+
+
+def one(spark, number):
+    return spark.createDataFrame([(number, f"run {number}")], "n int, text string").coalesce(1)
+
+
+def test_files_of_a_log_follow_its_bytes(spark, folder):
+    path = f"{folder}/log"
+    for number in range(50):
+        append_packed(one(spark, number), path)
+    files, _ = folders.data_files(spark, path)
+    assert files <= MOST_FILES_PER_NEEDED + 1
+    rows = read_log(spark, path, "n int, text string").collect()
+    assert sorted(map(tuple, rows)) == [(n, f"run {n}") for n in range(50)]
+    assert folders.subfolders(spark, folder) == ["log"]
+
+
+def test_a_log_without_events_is_empty(spark, folder):
+    assert read_log(spark, f"{folder}/none/log", "n int").collect() == []
+
+
+def test_a_table_set_aside_by_a_run_that_died_is_put_back(spark, folder, monkeypatch):
+    path = f"{folder}/log"
+    write_table(one(spark, 1), path)
+    moves, move = [], folders.move
+
+    def die_between(spark, source, target):
+        moves.append(source)
+        if len(moves) == 2:
+            raise KeyboardInterrupt
+        if len(moves) == 3:
+            raise SystemExit  # the driver is gone before it could put the old table back
+        move(spark, source, target)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(folders, "move", die_between)
+        with pytest.raises(SystemExit):
+            write_table(one(spark, 2), path)
+    assert not folders.exists(spark, path)
+    append_packed(one(spark, 3), path)
+    assert {r["n"] for r in read_log(spark, path, "n int, text string").collect()} == {1, 3}
+    assert not folders.restore(spark, path)
+
+
+def test_recovery_skips_the_files_of_other_batches(spark, folder, plan_of):
+    for batch in ("a", "b", "c"):
+        rows = spark.range(1000).withColumn("_batch_id", F.lit(batch))
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/bronze")
+    bronze = spark.read.parquet(f"{folder}/bronze")
+    found = rows_of_batches(bronze, ["b"]).select("_batch_id")
+    assert "PushedFilters: [IsNotNull(_batch_id), EqualTo(_batch_id,b)]" in plan_of(found) or (
+        "In(_batch_id, [b])" in plan_of(found)
+    )
+    assert found.count() == 1000
+    manifest = Manifest(spark, f"{folder}/manifests", "feed")
+    files = spark.createDataFrame(
+        [("f", 1, None)], "path string, length bigint, modificationTime timestamp"
+    )
+    for batch in ("a", "b", "x"):
+        manifest.plan(files, batch)
+    manifest.finish("a")
+    manifest.recover(f"{folder}/bronze")
+    assert {r["batch_id"] for r in manifest.finished_batches().collect()} == {"a", "b"}
+
+
+def test_sums_do_not_depend_on_partitions(spark):
+    rows = spark.createDataFrame(
+        [(f"C{i % 7}", f"O{i}", "COMPLETED", (i * 7919 % 100_003) / 100, None)
+         for i in range(30_000)],
+        "customer_id string, order_id string, order_status string, order_amount double, "
+        "order_date date",
+    )
+    totals = [
+        {r["customer_id"]: r["total_revenue"]
+         for r in order_summary(rows.repartition(parts, F.xxhash64("order_id", F.lit(parts)))).collect()}
+        for parts in (1, 3, 11)
+    ]
+    assert totals[0] == totals[1] == totals[2]
+    whole = [
+        rows.repartition(parts, F.xxhash64("order_id", F.lit(parts)))
+        .agg(exact_sum(F.col("order_amount")).alias("s")).first()["s"]
+        for parts in (1, 5)
+    ]
+    assert whole[0] == whole[1] == sum(i * 7919 % 100_003 for i in range(30_000)) / 100
+
+
+@pytest.mark.parametrize("values, wanted", [
+    ([], None), ([None], None), ([0.1, 0.2, None], 0.3), ([1e300, 1.0], 1e300),
+    ([float("inf"), 1.0], float("inf")), ([6e27, 6e27], 1.2e28),
+])
+def test_odd_amounts(spark, values, wanted):
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    assert rows.agg(exact_sum(F.col("x")).alias("s")).first()["s"] == wanted
+
+
+def test_average_over_nothing_is_null(spark):
+    columns = ("status string, total_orders bigint, total_revenue double, loyalty_tier string, "
+               "points_balance bigint, support_ticket_count bigint, open_ticket_count bigint")
+    row = gold.kpi_summary(spark.createDataFrame([], columns)).first()
+    assert row["total_revenue"] is None and row["avg_customer_revenue"] is None

@@ -18,13 +18,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assay.llm.shared import block_numbers, blocks_for, finite, stored
+from assay.llm.shared import block_numbers, blocks_for, finite, stored, tasks_for
 
 FIT_ROWS = 20_000
 TUNING_QUERIES = 96
 TARGET_RECALL = 0.96
 ROW_BLOCK = 8192
 QUERY_BLOCK = 1024
+QUERIES_A_TASK = 1024
 MOST_CENTROIDS = 256
 
 
@@ -292,7 +293,8 @@ def search_neighbours(
                 columns="spread"
             )
 
-    queries = leaders.mapInPandas(
+    tasks = tasks_for(spark, size["asked"], QUERIES_A_TASK)
+    queries = leaders.repartition(tasks, "leader").mapInPandas(
         pop, "query_id long, values array<double>, row_block long, cells array<long>"
     ).withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("long"))
     placed = indexed.withColumn(

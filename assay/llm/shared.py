@@ -60,6 +60,13 @@ def blocks_for(rows: int, block_rows: int) -> int:
     return max(1, -(-rows // block_rows))
 
 
+def tasks_for(spark: SparkSession, items: int, items_a_task: int) -> int:
+    """Number of tasks for rows that stand for far more work than their bytes, such as names of
+    files. A stated number keeps adaptive execution from merging them into one."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(items, max(usual, blocks_for(items, items_a_task))))
+
+
 def block_numbers(blocks: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
 

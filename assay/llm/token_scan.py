@@ -18,12 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assay.llm.shared import file_system, stored
+from assay.llm.shared import file_system, stored, tasks_for
 from assay.llm.tokens import encoder
 
 END_OF_DOCUMENT = 50_256
 BLOCK_TOKENS = 1 << 21
 SCAN_BLOCKS = 1024
+BLOCKS_A_TASK = 32
 ID_BYTES = 2
 DOCUMENTS_A_STEP = 512
 
@@ -117,7 +118,8 @@ def scan_blocks(files: DataFrame, end_id: int, block_tokens: int) -> DataFrame:
             F.floor((F.col("file_bytes") - 1) / F.lit(block_bytes)).cast("long"),
         )).alias("block"),
     )
-    return blocks.repartition(F.xxhash64("file", "block")).mapInPandas(
+    tasks = tasks_for(files.sparkSession, blocks.count(), BLOCKS_A_TASK)
+    return blocks.repartition(tasks, F.xxhash64("file", "block")).mapInPandas(
         scan,
         "file string, block long, tokens long, separators long, head long, tail long, "
         "inner array<long>",

@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.shared import file_system, stored
+from assay.llm.shared import file_system, stored, tasks_for
 from assay.session import written
 
 # Fixed values of the format.
@@ -41,6 +41,7 @@ BYTES_FIELD = "X-Payload-Length"
 SHARD_BYTES = 16 << 20
 FILE_BYTES = 4 << 20
 SAMPLE_A_SHARD = 256
+FILES_A_TASK = 16
 CRAWL_DATE = "2000-01-01T00:00:00Z"
 UNSAFE = re.compile("[\x00-\x20\x7f]")
 
@@ -327,5 +328,6 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = False)
                 yield found
 
     manifest = spark.read.parquet(f"{folder}/manifest").select("file", "shard", "part")
-    files = manifest.repartition(F.xxhash64("shard", "part")).select("file")
+    tasks = tasks_for(spark, manifest.count(), FILES_A_TASK)
+    files = manifest.repartition(tasks, F.xxhash64("shard", "part")).select("file")
     return files.mapInPandas(read, RECORD)

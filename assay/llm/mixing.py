@@ -21,6 +21,7 @@ BLOCK_TOKENS = 1 << 20
 SECTIONS = 16
 ROUNDS = 10
 SEED = 17
+LAST_POSITION = 1 - 2.0 ** -53
 
 
 def powers(sources: DataFrame, exponents: list[float]) -> list[dict[str, float]]:
@@ -117,6 +118,12 @@ def shuffled(*parts: Column) -> Column:
     return F.xxhash64(*parts, F.lit(SEED))
 
 
+def unit_interval(*names: str) -> Column:
+    """A number in [0, 1) from the upper bits of a hash."""
+    bits = F.shiftrightunsigned(shuffled(*map(F.col, names)), 11)
+    return bits.cast("double") / F.lit(2.0 ** 53)
+
+
 def mix_sources(
     documents: DataFrame, max_passes: float | None = 2.0, target_entropy: float | None = None,
     budget_tokens: float | None = None, block_tokens: int = BLOCK_TOKENS,
@@ -125,8 +132,9 @@ def mix_sources(
     """``documents`` in the mixture: a row per document and pass, with ``mix_pass``, ``mix_block``,
     ``mix_tokens`` and ``mix_position``.
 
-    ``mix_position`` lies in [0, 1); sorted by it, every stretch of the result holds the sources in
-    their weights. Whole passes take every document; the last, partial one takes whole blocks in
+    ``mix_position`` lies in [0, 1): a block of a pass takes the stretch of its source's budget that
+    its place in the pass's order gives it, and its documents are spread over the stretch by hash.
+    Sorted by it, every long stretch of the result holds the sources in their weights. Whole passes take every document; the last, partial one takes whole blocks in
     the pass's order and of the block in which the budget ends documents in hash order up to
     the first that does not fit, then the others by size as long as they fit; those larger than the
     room are left out. A NULL source is a source of its own. ``tokens`` is the size of a document, its words if
@@ -170,23 +178,18 @@ def mix_sources(
     in_pass = Window.partitionBy("source", "mix_pass").orderBy(
         shuffled(F.col("source.name"), F.col("mix_pass"), F.col("block")), "block"
     ).rowsBetween(Window.unboundedPreceding, -1)
-    taken = passes.withColumn("before", F.coalesce(F.sum("block_tokens").over(in_pass), F.lit(0)))
-    in_budget = F.col("passes") * F.col("source_tokens") - (
-        F.col("mix_pass") * F.col("source_tokens") + F.col("before")
-    )
-    taken = taken.withColumn("room", F.round(in_budget, 3)).where("room > 0").select(
+    before = F.coalesce(F.sum("block_tokens").over(in_pass), F.lit(0))
+    taken = passes.withColumns({
+        "begin": F.col("mix_pass") * F.col("source_tokens") + before,
+        "budget": F.col("passes") * F.col("source_tokens"),
+    }).withColumn("room", F.round(F.col("budget") - F.col("begin"), 3)).where("room > 0").select(
         "source", "block", "mix_pass", "room", "block_tokens",
-        (
-            (F.col("mix_pass") * F.col("source_tokens") + F.col("before"))
-            / F.greatest(
-                F.col("passes") * F.col("source_tokens"),
-                F.col("mix_pass") * F.col("source_tokens") + F.col("before") + 1,
-            )
-        ).alias("mix_position"),
+        (F.col("begin") / F.col("budget")).alias("start"),
+        (F.least("block_tokens", "room") / F.col("budget")).alias("stretch"),
     )
     # One row per block with the passes that take it; then every document meets one row.
     plan = taken.groupBy("source", "block").agg(
-        F.collect_list(F.struct("mix_pass", "room", "block_tokens", "mix_position")).alias("takes")
+        F.collect_list(F.struct("mix_pass", "room", "block_tokens", "start", "stretch")).alias("takes")
     )
     dealt = sized.join(budgets.select("source", "blocks"), "source", "left").withColumn(
         "block", F.when(F.col("tokens") > 0, block)
@@ -195,7 +198,8 @@ def mix_sources(
     cut = F.filter("takes", lambda t: t["room"] < t["block_tokens"])
     once = F.array(F.struct(
         F.lit(0).cast("long").alias("mix_pass"), F.lit(0.0).alias("room"),
-        F.lit(0).cast("long").alias("block_tokens"), F.lit(0.0).alias("mix_position"),
+        F.lit(0).cast("long").alias("block_tokens"), F.lit(0.0).alias("start"),
+        F.lit(1.0).alias("stretch"),
     ))
     met = dealt.join(plan, ["source", "block"], "left").select(
         "row", "source", "block", "tokens", "name",
@@ -205,7 +209,10 @@ def mix_sources(
     result = [
         *columns, F.col("take.mix_pass").cast("int").alias("mix_pass"),
         F.col("block").alias("mix_block"), F.col("tokens").alias("mix_tokens"),
-        F.col("take.mix_position").alias("mix_position"),
+        F.least(
+            F.col("take.start") + F.col("take.stretch") * unit_interval("name", "take.mix_pass"),
+            F.lit(LAST_POSITION),
+        ).alias("mix_position"),
     ]
     in_whole = met.select("*", F.explode("whole").alias("take")).select(*result)
     # Only the blocks in which a budget ends are put in order. Rows of one name go together.

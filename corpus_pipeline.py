@@ -34,12 +34,9 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once; documents of small sources up to twice. In the mixture's
-    order, the documents of a block by hash."""
-    mixed = mix_sources(docs, max_passes=2.0)
-    return mixed.orderBy(
-        "mix_position", "mix_pass", F.xxhash64("doc_id", "text")
-    ).select(*docs.columns)
+    """Every document at least once; documents of small sources up to twice. The packing orders by
+    length, so the documents are not sorted by their place in the mixture."""
+    return mix_sources(docs, max_passes=2.0).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ from assay.plans.generate import land_generated, people_from_range
 from assay.plans.medallion import (
     ALL, Layout, bronze_tables, ingest_landed, refine_bronze, run, run_refresh,
 )
+from assay.plans.quarantine import malformed_counts
 from assay.plans.refresh import SHARDS
 from assay.plans.silver import SilverTables
 from assay.session import build_session
@@ -81,7 +82,8 @@ def execute(spark: SparkSession, options: argparse.Namespace) -> None:
         tables = refine_bronze(spark, layout, clock, names)
         specs = [spec for spec in REPORTED if spec.name in names]
         feeds = bronze_tables(spark, layout, names)
-        show(gold.run_report(spark, feeds, tables, specs).orderBy("source_name"))
+        malformed = malformed_counts(spark, layout.bronze, specs)
+        show(gold.run_report(spark, feeds, tables, specs, malformed).orderBy("source_name"))
     elif options.job == "summarise":
         tables = SilverTables(spark, layout.silver)
         gold.write_gold(spark, layout.bronze, tables, layout.gold, clock)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -13,32 +13,38 @@ from pyspark.sql.types import StructType
 
 from assay.functions.hashing import record_hash
 from assay.plans.clock import NOW, Clock
+from assay.plans.quarantine import quarantine_batch
 from assay.sources.fixed_values import INGESTION_LOG_SCHEMA
 from assay.sources.manifest import Manifest, landed_files
 from assay.sources.specs import SOURCES, SourceSpec
 from assay.sources.tables import (
-    append_packed, literal_path, preview, read_csv, read_feed, table_profile,
+    RECORD_TEXT, append_packed, feed_glob, literal_path, preview, read_csv, table_profile,
 )
 
 AUDIT_COLUMNS = ("_ingestion_timestamp", "_source_file", "_batch_id", "_record_hash")
 
 
-def with_audit(feed: DataFrame, batch_id: str, clock: Clock = NOW) -> DataFrame:
+def with_audit(
+    feed: DataFrame, batch_id: str, clock: Clock = NOW, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Audit columns of rows read from files."""
-    return with_audit_columns(feed, F.col("_metadata.file_path"), batch_id, clock)
+    return with_audit_columns(feed, F.col("_metadata.file_path"), batch_id, clock, columns)
 
 
 def with_audit_columns(
-    rows: DataFrame, source_file: Column | None = None, batch_id: str = "", clock: Clock = NOW
+    rows: DataFrame, source_file: Column | None = None, batch_id: str = "", clock: Clock = NOW,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add ingestion time, source file, batch and a hash over all business columns."""
+    """Add ingestion time, source file, batch and a hash over all business columns, which are all
+    columns if not named."""
     source_file = F.lit(None).cast("string") if source_file is None else source_file
+    columns = rows.columns if columns is None else columns
     return rows.select(
-        "*",
+        *columns,
         clock.now().alias("_ingestion_timestamp"),
         source_file.alias("_source_file"),
         F.lit(batch_id).alias("_batch_id"),
-        record_hash(rows.columns).alias("_record_hash"),
+        record_hash(columns).alias("_record_hash"),
     )
 
 
@@ -75,15 +81,22 @@ def logged(
     return rows
 
 
-def append_rows(feed: DataFrame, target: str, batch_id: str, clock: Clock = NOW) -> int:
+def append_rows(
+    feed: DataFrame, target: str, batch_id: str, clock: Clock = NOW
+) -> tuple[int, int]:
     """Append a feed's rows with their audit columns to a bronze table, in one commit.
 
-    The feed is scanned once: its rows are counted by an observation while they are written.
+    The feed is scanned once: its rows, and among them those that do not fit the schema, are
+    counted by an observation while they are written.
     """
-    seen = Observation()
-    rows = with_audit(feed, batch_id, clock).observe(seen, F.count(F.lit(1)).alias("rows"))
+    seen, columns = Observation(), [name for name in feed.columns if name != RECORD_TEXT]
+    misfit = F.col(RECORD_TEXT).isNotNull() if RECORD_TEXT in feed.columns else F.lit(False)
+    counted = feed.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(misfit).alias("misfits")
+    )
+    rows = with_audit(counted, batch_id, clock, columns)
     rows.write.mode("append").parquet(target)
-    return seen.get["rows"]
+    return seen.get["rows"], seen.get["misfits"]
 
 
 def append_files(
@@ -93,15 +106,32 @@ def append_files(
     """Append the rows of listed files and enter the files in the manifest."""
     manifest.plan(files, batch_id)
     # The driver lists a folder's files for any scan; here it lists those of the batch alone.
-    paths = [row["path"] for row in manifest.batch_files(batch_id).select("path").collect()]
+    paths = batch_paths(manifest, batch_id)
     if not paths:
         return 0
-    feed = read_csv(spark, [literal_path(path) for path in paths], spec.schema)
-    rows = append_rows(feed, f"{bronze}/{spec.feed}", batch_id, clock)
+    rows = append_drop(spark, spec, paths, bronze, batch_id, clock)
     manifest.finish(batch_id)
     return rows
 
 
+def batch_paths(manifest: Manifest, batch_id: str) -> list[str]:
+    return [
+        literal_path(row["path"]) for row in manifest.batch_files(batch_id).select("path").collect()
+    ]
+
+
+def append_drop(
+    spark: SparkSession, spec: SourceSpec, paths: str | list[str], bronze: str, batch_id: str,
+    clock: Clock,
+) -> int:
+    """Append the rows of some paths to bronze, and their malformed cells to the quarantine."""
+    feed = read_csv(spark, paths, spec.schema, with_text=True)
+    rows, misfits = append_rows(feed, f"{bronze}/{spec.feed}", batch_id, clock)
+    if misfits:
+        quarantine_batch(spark, spec, paths, bronze, batch_id, clock)
+    return rows
+
+
 def ingest(
     spark: SparkSession,
     spec: SourceSpec,
@@ -121,8 +151,8 @@ def ingest(
 
     def append() -> int:
         if manifests is None:
-            feed = read_feed(spark, landing, spec.feed, spec.schema)
-            return append_rows(feed, f"{bronze}/{spec.feed}", batch_id, clock)
+            paths = feed_glob(landing, spec.feed)
+            return append_drop(spark, spec, paths, bronze, batch_id, clock)
         landed = landed_files(spark, landing, spec.feed)
         manifest = Manifest(spark, manifests, spec.feed)
         return append_files(spark, spec, landed, bronze, batch_id, clock, manifest)

@@ -184,11 +184,15 @@ def run_report(
     bronze: Mapping[str, DataFrame],
     silver: SilverTables,
     specs: Sequence[SourceSpec] = REPORTED,
+    malformed: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows read, kept after dedup, valid, rejected, and valid rows with a future date."""
+    """Rows read, kept after dedup, valid, rejected, and valid rows with a future date.
+
+    With ``malformed`` (source_name, malformed_cells), the cells that could not be read too.
+    """
     tables = [(spec.name, bronze[spec.name], silver.graded(spec.name)) for spec in specs]
     warnings = {spec.name: spec.warning.flag for spec in specs}
-    return quality_counts(spark, tables, warnings).select(
+    report = quality_counts(spark, tables, warnings).select(
         "source_name",
         "bronze_rows",
         (F.col("silver_valid_rows") + F.col("silver_rejected_rows")).alias("deduplicated_rows"),
@@ -196,6 +200,10 @@ def run_report(
         F.col("silver_rejected_rows").alias("rejected_rows"),
         "future_date_rows",
     )
+    if malformed is None:
+        return report
+    cells = malformed.groupBy("source_name").agg(F.sum("malformed_cells").alias("malformed_cells"))
+    return report.join(cells, "source_name", "left").fillna(0, ["malformed_cells"])
 
 
 def write_gold(

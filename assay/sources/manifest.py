@@ -8,6 +8,8 @@ they are there if and only if the job had finished.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +35,11 @@ class Manifest:
         self.planned = f"{root}/{feed}/planned"
         self.finished = f"{root}/{feed}/finished"
 
-    def recover(self, bronze_table: str) -> None:
-        """Mark the batches finished whose rows reached bronze before their run died."""
+    def recover(
+        self, bronze_table: str, complete: Callable[[str], None] = lambda batch_id: None
+    ) -> None:
+        """Mark the batches finished whose rows reached bronze before their run died; ``complete``
+        does before what else the run owed for a batch."""
         open_batches = self._planned().select("batch_id").distinct().join(
             self._finished(), "batch_id", "left_anti"
         ).collect()  # one name for each run that died since the last recovery
@@ -44,8 +49,9 @@ class Manifest:
         arrived = rows_of_batches(rows, [row["batch_id"] for row in open_batches]).select(
             F.col("_batch_id").alias("batch_id")
         ).distinct()
-        if not arrived.isEmpty():
-            append_packed(arrived, self.finished)
+        for row in arrived.collect():
+            complete(row["batch_id"])
+            self.finish(row["batch_id"])
 
     def _planned(self) -> DataFrame:
         return read_log(self.spark, self.planned, PLANNED)

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from assay.operators.quality import rejected, valid
 from assay.sources.folders import (
@@ -17,6 +17,7 @@ from assay.sources.folders import (
 
 CONCURRENT_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 FILE_BYTES = 128 << 20
+RECORD_TEXT = "_record_text"
 MOST_FILES_PER_NEEDED = 16
 
 
@@ -31,14 +32,28 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """Headered CSV with a declared schema: columns by position, bad numbers become NULL."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: StructType, with_text: bool = False
+) -> DataFrame:
+    """Headered CSV with a declared schema: columns by position, bad numbers become NULL.
 
+    ``with_text`` adds the text of records that do not fit the schema as ``RECORD_TEXT``.
+    """
+    reader = spark.read.option("header", True)
+    if with_text:
+        # A pruned scan does not see records with too few or too many cells.
+        reader = reader.option("columnNameOfCorruptRecord", RECORD_TEXT).option(
+            "columnPruning", False
+        )
+        schema = StructType([*schema.fields]).add(RECORD_TEXT, StringType())
+    return reader.schema(schema).csv(path)
 
-def read_feed(spark: SparkSession, landing: str, feed: str, schema: StructType) -> DataFrame:
+
+def read_feed(
+    spark: SparkSession, landing: str, feed: str, schema: StructType, with_text: bool = False
+) -> DataFrame:
     """Every drop of a feed. A drop is a CSV file or a ``.csv`` folder of part files."""
-    return read_csv(spark, feed_glob(landing, feed), schema)
+    return read_csv(spark, feed_glob(landing, feed), schema, with_text)
 
 
 def write_drop(df: DataFrame, landing: str, feed: str, stamp: datetime) -> str:

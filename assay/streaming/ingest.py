@@ -13,8 +13,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from assay.plans.bronze import append_files, logged
+from assay.plans.bronze import append_files, batch_paths, logged
 from assay.plans.clock import NOW, Clock
+from assay.plans.quarantine import quarantine_batch
 from assay.sources.manifest import Manifest, landed_files
 from assay.sources.specs import SourceSpec
 
@@ -38,9 +39,12 @@ def ingest_new(
     batch_id = batch_id or str(uuid.uuid4())
     manifest = Manifest(spark, manifests, spec.feed)
 
+    def complete(died: str) -> None:
+        quarantine_batch(spark, spec, batch_paths(manifest, died), bronze, died, clock)
+
     def append() -> int:
         landed = landed_files(spark, landing, spec.feed)
-        manifest.recover(f"{bronze}/{spec.feed}")
+        manifest.recover(f"{bronze}/{spec.feed}", complete)
         return append_files(
             spark, spec, manifest.new_files(landed), bronze, batch_id, clock, manifest
         )

@@ -470,6 +470,10 @@ def bronze_queries() -> dict[str, str]:
         "bronze_new_feed_missing": failed.replace("'orders'", "'crm_customers'", 1),
         **{name: incremental() for name in (
             "bronze_late_drop", "bronze_batch_then_new", "bronze_new_then_batch")},
+        "bronze_malformed": f"""SELECT 'order_amount' AS column_name, 'n/a' AS cell_text, order_id
+            FROM ({landing_sql('orders')}) WHERE right(order_id, 2) = '05'
+            UNION ALL SELECT 'bronze', NULL, order_id FROM ({landing_sql('orders')})
+            WHERE right(order_id, 2) = '05' OR order_amount IS NULL""",
         "bronze_inspect": union([profile("customers"), profile("orders")]),
         "preview5": f"""SELECT least(5, count(*)) AS rows_shown, least(5, count(*)) AS rows_found
             FROM ({landing_sql('customers')})""",

@@ -19,6 +19,7 @@ from assay.plans import generate, gold, silver as silver_plans
 from assay.plans.clock import Clock
 from assay.plans.customer_facts import CustomerFacts, snapshot_from_facts
 from assay.plans.medallion import Layout, refine_bronze, refresh, run
+from assay.plans.quarantine import read_quarantine
 from assay.plans.refresh import ShardedSilver
 from assay.plans.silver import SilverTables
 from assay.session import new_run_root, written
@@ -204,6 +205,29 @@ def preview5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose amount lands as text, and what bronze and the quarantine hold of them."""
+    root = new_run_root(spark, "landing")
+    amount = F.when(F.right("order_id", F.lit(2)) == "05", "n/a").otherwise(
+        F.col("order_amount").cast("string")
+    )
+    feed = landing_feed(spark, sf_dir, "orders").withColumn("order_amount", amount)
+    write_drop(feed, f"{root}/landing", ORDERS.feed, DROP_STAMP)
+    bronze_plans.ingest(
+        spark, ORDERS, f"{root}/landing", f"{root}/bronze", f"{root}/log", DAY, batch_id=BATCH
+    )
+    cells = read_quarantine(spark, f"{root}/bronze", ORDERS.feed)
+    rows = spark.read.parquet(f"{root}/bronze/{ORDERS.feed}")
+    return cells.select(
+        "column_name", "cell_text", F.col("first_cell").alias("order_id")
+    ).unionByName(
+        rows.where("order_amount IS NULL").select(
+            F.lit("bronze").alias("column_name"), F.lit(None).cast("string").alias("cell_text"),
+            "order_id",
+        )
+    )
+
+
 # --- silver, step by step --------------------------------------------------------------------
 
 def _standardised(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -568,6 +592,7 @@ def all_queries() -> dict[str, Query]:
         "bronze_ingest_log": bronze_ingest_log,
         "bronze_ingest_failure": bronze_ingest_failure,
         "bronze_inspect": bronze_inspect,
+        "bronze_malformed": bronze_malformed,
         "preview5": preview5,
         **_per_table("std", standardised, NAMES),
         **_per_table("dedup", deduplicated, NAMES),

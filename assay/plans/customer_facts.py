@@ -9,6 +9,8 @@ also when a row was replaced or has become invalid.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -59,15 +61,15 @@ class CustomerFacts:
 
 
 def refresh_facts(silver: ShardedSilver, facts: CustomerFacts, metadata: str) -> None:
-    """Bring the facts up to date with the changes that ``refresh_silver`` has written."""
+    """Bring the facts up to date with the changes that ``refresh_silver`` has written. The tables
+    do not depend on each other and are submitted side by side."""
     log = RefreshLog(silver.spark, metadata)
-    for name, summarise in SIDES.items():
-        if not silver.present(name):
-            continue
+
+    def bring(name: str) -> None:
         consumer = f"facts-{name}"
         due = log.pending(name, consumer)
         if not facts.present(name):
-            rows = summarise(silver.valid(name))
+            rows = SIDES[name](silver.valid(name))
             facts.write(rows.repartition(facts.buckets, KEY), name)
         elif due:
             changes = log.changes(name, due).where("valid_before OR valid_after")
@@ -76,6 +78,11 @@ def refresh_facts(silver: ShardedSilver, facts: CustomerFacts, metadata: str) ->
         if due:
             log.append(consumer, [("consumed", name, refresh) for refresh in due])
 
+    present = [name for name in SIDES if silver.present(name)]
+    if present:
+        with ThreadPoolExecutor(len(present)) as pool:
+            list(pool.map(bring, present))
+
 
 def merged(
     silver: ShardedSilver, facts: CustomerFacts, name: str, customers: DataFrame

@@ -130,7 +130,9 @@ def test_replaced_versions_and_turned_parents(spark, layout):
     assert counts == {"B": 2, "C": 1, "D": 1}
     # Older versions that come last change nothing but the log.
     land(spark, layout, 3, {"orders": FIRST["orders"], "customers": FIRST["customers"]})
-    check_equal_to_whole(spark, layout, *refresh(spark, layout, CLOCK))
+    check_equal_to_whole(
+        spark, layout, *refresh(spark, layout, CLOCK), ["customers", "orders"]
+    )
 
 
 def files_of(spark, path):
@@ -176,7 +178,7 @@ class Died(Exception):
     pass
 
 
-@pytest.mark.parametrize("place", ["before_ready", "between_shards", "before_log", "after_changes"])
+@pytest.mark.parametrize("place", ["before_ready", "between_shards", "before_log"])
 def test_a_run_that_died_is_made_good(spark, layout, monkeypatch, place):
     names = ["customers", "orders"]
     land(spark, layout, 1, FIRST, names)
@@ -200,15 +202,13 @@ def test_a_run_that_died_is_made_good(spark, layout, monkeypatch, place):
                 move(spark, source, target)
 
             broken.setattr(sharding, "move", few)
-        elif place == "before_log":
+        else:
             append = refreshing.RefreshLog.append
             broken.setattr(
                 refreshing.RefreshLog, "append",
                 lambda log, owner, events: append(log, owner, events)
                 if events[0][0] == "changed" else die(),
             )
-        else:
-            broken.setattr(refreshing, "replace_shards", die)
         with pytest.raises(Died):
             refresh(spark, layout, CLOCK)
     silver, facts = refresh(spark, layout, CLOCK)

@@ -29,6 +29,7 @@ from assay.plans.refresh import SHARDS
 from assay.plans.silver import SilverTables
 from assay.session import build_session
 from assay.sources.specs import REPORTED
+from assay.sources.tables import read_table
 
 
 def arguments(words: Sequence[str] | None = None) -> argparse.Namespace:
@@ -36,6 +37,9 @@ def arguments(words: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="folder of all layers, on shared storage")
     parser.add_argument("--master", help="Spark master; spark-submit sets its own")
     parser.add_argument("--as-of", type=date.fromisoformat, help="processing day, default today")
+    parser.add_argument(
+        "--versioned", action="store_true", help="publish silver and gold as versions"
+    )
     jobs = parser.add_subparsers(dest="job", required=True)
     generate = jobs.add_parser("generate", help="land one dirty drop of every feed")
     generate.add_argument("--customers", type=int, default=100_000)
@@ -62,12 +66,13 @@ def show(rows: DataFrame) -> None:
 
 
 def show_gold(spark: SparkSession, layout: Layout) -> None:
-    show(spark.read.parquet(f"{layout.gold}/kpi_summary"))
-    show(spark.read.parquet(f"{layout.gold}/dq_summary").orderBy("source_name"))
+    show(read_table(spark, f"{layout.gold}/kpi_summary"))
+    show(read_table(spark, f"{layout.gold}/dq_summary").orderBy("source_name"))
 
 
 def execute(spark: SparkSession, options: argparse.Namespace) -> None:
-    layout, clock = Layout(options.root.rstrip("/")), Clock(options.as_of)
+    layout = Layout(options.root.rstrip("/"), options.versioned)
+    clock = Clock(options.as_of)
     if options.job == "generate":
         people = people_from_range(spark, options.customers)
         land_generated(people, layout.landing, datetime.now(), clock)
@@ -86,7 +91,7 @@ def execute(spark: SparkSession, options: argparse.Namespace) -> None:
         show(gold.run_report(spark, feeds, tables, specs, malformed).orderBy("source_name"))
     elif options.job == "summarise":
         tables = SilverTables(spark, layout.silver)
-        gold.write_gold(spark, layout.bronze, tables, layout.gold, clock)
+        gold.write_gold(spark, layout.bronze, tables, layout.gold, clock, layout.versioned)
         show_gold(spark, layout)
     elif options.job == "refresh":
         run_refresh(spark, layout, clock, options.shards)

@@ -15,7 +15,7 @@ from assay.operators.summaries import exact_sum, sum_flag
 from assay.plans.clock import NOW, Clock
 from assay.plans.silver import SilverTables
 from assay.sources.specs import REPORTED, SourceSpec
-from assay.sources.tables import read_if_present, write_table
+from assay.sources.tables import read_if_present, read_table, write_table
 
 ZERO_WHEN_ABSENT = {
     "total_orders": 0,
@@ -207,20 +207,21 @@ def run_report(
 
 
 def write_gold(
-    spark: SparkSession, bronze: str, silver: SilverTables, gold: str, clock: Clock = NOW
+    spark: SparkSession, bronze: str, silver: SilverTables, gold: str, clock: Clock = NOW,
+    versioned: bool = False,
 ) -> None:
     """Write the three gold tables from silver."""
     valid = {spec.name: silver.valid(spec.name) for spec in REPORTED}
-    write_summaries(spark, customer_snapshot(valid, clock), bronze, silver, gold, clock)
+    write_summaries(spark, customer_snapshot(valid, clock), bronze, silver, gold, clock, versioned)
 
 
 def write_summaries(
     spark: SparkSession, snapshot: DataFrame, bronze: str, silver: SilverTables, gold: str,
-    clock: Clock = NOW,
+    clock: Clock = NOW, versioned: bool = False,
 ) -> None:
     """Write the three gold tables. The KPIs read the written snapshot, not its plan."""
-    write_table(snapshot, f"{gold}/customer_snapshot")
-    snapshot = spark.read.parquet(f"{gold}/customer_snapshot")
-    write_table(kpi_summary(snapshot, clock), f"{gold}/kpi_summary")
+    write_table(snapshot, f"{gold}/customer_snapshot", versioned)
+    snapshot = read_table(spark, f"{gold}/customer_snapshot")
+    write_table(kpi_summary(snapshot, clock), f"{gold}/kpi_summary", versioned)
     counts = quality_counts(spark, dq_tables(spark, bronze, silver))
-    write_table(dq_summary(counts, clock), f"{gold}/dq_summary")
+    write_table(dq_summary(counts, clock), f"{gold}/dq_summary", versioned)

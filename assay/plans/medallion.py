@@ -21,9 +21,14 @@ ALL = tuple(BY_NAME)
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the layers live. All paths may be on any file system the cluster shares."""
+    """Where the layers live. All paths may be on any file system the cluster shares.
+
+    ``versioned`` publishes silver and gold as versions, to be read with ``SilverTables`` and
+    ``read_table``. Tables once published so stay so.
+    """
 
     root: str
+    versioned: bool = False
 
     @property
     def landing(self) -> str:
@@ -73,7 +78,7 @@ def refine_bronze(
 ) -> SilverTables:
     """Silver tables from bronze tables; parents left out of ``names`` must be written already."""
     clocks = {name: clock for name in names}
-    tables = SilverTables(spark, layout.silver)
+    tables = SilverTables(spark, layout.silver, layout.versioned)
     return refine_all(bronze_tables(spark, layout, names), tables, clocks)
 
 
@@ -101,7 +106,7 @@ def run(
     """Landing to gold."""
     ingest_landed(spark, layout, clock, new_files_only)
     silver = refine_bronze(spark, layout, clock)
-    write_gold(spark, layout.bronze, silver, layout.gold, clock)
+    write_gold(spark, layout.bronze, silver, layout.gold, clock, layout.versioned)
 
 
 def refresh(
@@ -133,4 +138,6 @@ def run_refresh(
     ingest_landed(spark, layout, clock, new_files_only=True)
     silver, facts = refresh(spark, layout, clock, shards=shards)
     snapshot = snapshot_from_facts(facts, clock)
-    write_summaries(spark, snapshot, layout.bronze, silver, layout.gold, clock)
+    write_summaries(
+        spark, snapshot, layout.bronze, silver, layout.gold, clock, layout.versioned
+    )

@@ -20,6 +20,7 @@ from assay.sources.specs import (
     ADDRESSES, BY_NAME, CUSTOMERS, LOYALTY_ACCOUNTS, ORDERS, PAYMENTS, SUPPORT_TICKETS, SourceSpec,
 )
 from assay.sources.tables import read_graded, read_rejected, read_valid, write_graded
+from assay.sources.versions import current
 
 WAVES = (
     (CUSTOMERS,),
@@ -79,18 +80,22 @@ def refine(
 
 
 class SilverTables:
-    """The silver tables below one folder, each with its valid and rejected side."""
+    """The silver tables below one folder, each with its valid and rejected side.
 
-    def __init__(self, spark: SparkSession, root: str):
+    With ``versioned`` they are published as versions, which readers never find missing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, versioned: bool = False):
         self.spark = spark
         self.root = root
+        self.versioned = versioned
         self._schemas: dict[str, StructType] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def write(self, graded: DataFrame, name: str) -> None:
-        write_graded(graded, self.path(name))
+        write_graded(graded, self.path(name), self.versioned)
         self._schemas[name] = graded.schema
 
     def graded(self, name: str) -> DataFrame:
@@ -110,6 +115,7 @@ class SilverTables:
 
 def graded_schema(spark: SparkSession, path: str, spec: SourceSpec) -> StructType:
     """Schema of a written silver table with the partition column put back in its place."""
+    path = current(spark, path)
     require_committed(spark, path)
     try:
         stored = spark.read.parquet(path)

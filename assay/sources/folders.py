@@ -42,6 +42,25 @@ def make_folder(spark: SparkSession, path: str) -> None:
     system.mkdirs(target)
 
 
+def create_empty(spark: SparkSession, path: str) -> None:
+    """Create an empty file, and the folders above it; it must not be there."""
+    system, target = located(spark, path)
+    system.mkdirs(target.getParent())
+    if not system.createNewFile(target):
+        raise FileExistsError(path)
+
+
+def entries(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names directly in a folder, with the milliseconds of their last change; none without it."""
+    system, target = located(spark, path)
+    if not system.exists(target):
+        return {}
+    return {
+        entry.getPath().getName(): entry.getModificationTime()
+        for entry in system.listStatus(target)
+    }
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly in a folder."""
     system, target = located(spark, path)

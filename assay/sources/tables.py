@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +12,9 @@ from pyspark.sql.types import StringType, StructType
 
 from assay.operators.quality import rejected, valid
 from assay.sources.folders import (
-    data_files, exists, move, publish, remove, require_committed, restore,
+    data_files, move, publish, remove, require_committed, restore,
 )
+from assay.sources.versions import current, is_versioned, present, publish_version
 
 CONCURRENT_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 FILE_BYTES = 128 << 20
@@ -97,9 +98,24 @@ def rows_of_batches(bronze: DataFrame, batches: Iterable[str]) -> DataFrame:
     return bronze.where(F.col("_batch_id").isin(list(batches)))
 
 
+# --- publishing ------------------------------------------------------------------------------
+
+def publish_table(
+    spark: SparkSession, path: str, write: Callable[[str], None], versioned: bool
+) -> None:
+    """Replace the table at ``path`` in its place, or as a new version if ``versioned``.
+
+    A table that has versions gets a further one in any case.
+    """
+    if versioned or is_versioned(spark, path):
+        publish_version(spark, path, write)
+    else:
+        publish(spark, path, write)
+
+
 # --- silver ----------------------------------------------------------------------------------
 
-def write_graded(graded: DataFrame, path: str) -> None:
+def write_graded(graded: DataFrame, path: str, versioned: bool = False) -> None:
     """Write valid and rejected rows in one pass, as two partitions, and publish them together.
 
     The rows are computed once. The table at ``path`` is replaced as a whole when both sides are
@@ -115,7 +131,7 @@ def write_graded(graded: DataFrame, path: str) -> None:
         graded.write.partitionBy("_is_valid").parquet(staged)
         compact(spark, f"{staged}/_is_valid=false")
 
-    publish(spark, path, write)
+    publish_table(spark, path, write, versioned)
 
 
 def compact(spark: SparkSession, path: str) -> None:
@@ -156,6 +172,7 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_graded(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Both sides, columns in the order they were graded in."""
+    path = current(spark, path)
     require_committed(spark, path)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
@@ -171,9 +188,16 @@ def read_rejected(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 # --- gold and inspection ---------------------------------------------------------------------
 
-def write_table(df: DataFrame, path: str) -> None:
+def write_table(df: DataFrame, path: str, versioned: bool = False) -> None:
     """Replace the table at ``path`` once its rows are written; a failed run leaves the old one."""
-    publish(df.sparkSession, path, df.write.parquet)
+    publish_table(df.sparkSession, path, df.write.parquet, versioned)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The Parquet table at ``path``, whether in place or in versions."""
+    path = current(spark, path)
+    require_committed(spark, path)
+    return spark.read.parquet(path)
 
 
 def read_if_present(
@@ -183,7 +207,8 @@ def read_if_present(
 
     A folder that no finished job has written is an error, not an empty table.
     """
-    if not exists(spark, path):
+    path = present(spark, path)
+    if path is None:
         return None
     require_committed(spark, path)
     return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)

@@ -389,6 +389,11 @@ def gold_queries() -> dict[str, str]:
         "landed_kpis": kpis,
         "dq_summary": f"{everything} {quality(NAMES)}",
         "landed_orders": landed_orders(),
+        "published_customers": f"""{ctes(['customers'])} {union([
+            f"""SELECT '{reader}' AS reader, {business('customers')},
+            CAST(updated_at > DATE '{day}' AS VARCHAR) AS _has_future_updated_at,
+            '{day} 00:00:00' AS _silver_processed_at FROM graded_customers WHERE _is_valid"""
+            for reader, day in (('before', '1996-06-01'), ('after', DAY))])}""",
         "landed_quality": f"{everything} {quality([n for n in NAMES if n != 'loyalty_accounts'])}",
         "reject_reasons": f"""{everything} {union([
             f'''SELECT '{name}' AS source_name, _rejection_reason AS reason,

@@ -34,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 NAMES = [spec.name for spec in SOURCES]
 DAY = Clock(date(2001, 6, 1))
+EARLIER_DAY = Clock(date(1996, 6, 1))
 TICKET_DAY = Clock(date(2024, 1, 25))
 CLOCKS = {name: TICKET_DAY if name == "support_tickets" else DAY for name in NAMES}
 INSTANT = Clock(instant=datetime(2024, 1, 25, 9, 30))
@@ -435,6 +436,22 @@ def landed_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(money(rows, "total_revenue", "avg_customer_revenue"))
 
 
+def published_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid customers by a reader from before a second publishing, and by one from after it.
+
+    The two versions were refined on different days, so their future-date flags differ.
+    """
+    feed = {CUSTOMERS.name: landing_feed(spark, sf_dir, CUSTOMERS.name)}
+    tables = SilverTables(spark, new_run_root(spark, "silver"), versioned=True)
+    seen = []
+    for reader, clock in (("before", EARLIER_DAY), ("after", DAY)):
+        silver_plans.refine_all(feed, tables, {CUSTOMERS.name: clock})
+        seen.append(tables.valid(CUSTOMERS.name).withColumn("reader", F.lit(reader)))
+    return comparable(seen[0].unionByName(seen[1]).select(
+        "reader", *CUSTOMERS.columns, CUSTOMERS.warning.flag, "_silver_processed_at"
+    ))
+
+
 def landed_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality summary through the table mapping; loyalty accounts have never landed."""
     present = [name for name in NAMES if name != "loyalty_accounts"]
@@ -622,6 +639,7 @@ def all_queries() -> dict[str, Query]:
         "landed_orders": landed_orders,
         "landed_kpis": landed_kpis,
         "landed_quality": landed_quality,
+        "published_customers": published_customers,
         **_per_table("gen", generated, NAMES),
         "gen_keys_fanout": gen_keys_fanout,
         "gen_sample": gen_sample,

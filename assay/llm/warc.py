@@ -1,7 +1,7 @@
 """Deterministic sharded WARC writer, and a reader for what it wrote.
 
-Records are sorted by page id and dealt to shards by ranges of it. The ranges come from a sample
-chosen by hash, so the same pages always give the same archives. Every record is a gzip member of
+Records are sorted by page id and dealt to shards by ranges of it; those without id are spread over
+all shards. The ranges come from a sample chosen by hash, so the same pages always give the same archives. Every record is a gzip member of
 its own; a shard starts a new file when the next member would take the file over its compressed
 size. Files are written under temporary names that differ per attempt, listed in a manifest by the
 attempts that finished, renamed, and listed again in the final manifest, whose presence commits
@@ -15,9 +15,10 @@ import hashlib
 import re
 import uuid
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
@@ -40,7 +41,9 @@ BYTES_FIELD = "X-Payload-Length"
 
 SHARD_BYTES = 16 << 20
 FILE_BYTES = 4 << 20
+MOST_SHARDS = 16_384
 SAMPLE_A_SHARD = 256
+MOST_SAMPLED = 1 << 20
 FILES_A_TASK = 16
 CRAWL_DATE = "2000-01-01T00:00:00Z"
 UNSAFE = re.compile("[\x00-\x20\x7f]")
@@ -102,16 +105,39 @@ def info(name: str, date: str) -> bytes:
 
 
 def shard_bounds(pages: DataFrame, shard_bytes: int) -> list[int]:
-    """Page ids at which a new shard begins, from the ids with the smallest hashes."""
-    size = pages.agg(F.sum(F.octet_length("payload")).alias("bytes")).first()["bytes"] or 0
-    shards = max(1, -(-size // shard_bytes))
-    if shards == 1:
+    """Page ids at which a new shard begins, one less than there are shards; an id of many pages
+    may be several bounds.
+
+    The ids are those of the pairs of id and url whose hash is below a threshold. It is set from
+    the estimated number of pairs, which does not depend on partitions, so that about
+    ``MOST_SAMPLED`` pairs reach the driver at most. Tables of more than ``MOST_SHARDS`` shards get
+    larger shards.
+    """
+    pair = F.xxhash64("page_id", "url")
+    known = F.col("page_id").isNotNull()
+    total = pages.agg(
+        F.sum(F.octet_length("payload").cast("long")).alias("bytes"),
+        F.approx_count_distinct(F.when(known, pair), 0.02).alias("pairs"),
+    ).first()
+    shards = min(MOST_SHARDS, max(1, -(-(total["bytes"] or 0) // shard_bytes)))
+    if shards == 1 or total["pairs"] == 0:
         return []
-    sample = pages.where("page_id IS NOT NULL").select("page_id").distinct().orderBy(
-        F.xxhash64("page_id"), "page_id"
-    ).limit(shards * SAMPLE_A_SHARD)
-    known = sorted(row["page_id"] for row in sample.collect())
-    return sorted({known[len(known) * i // shards] for i in range(1, shards)}) if known else []
+    share = min(shards * SAMPLE_A_SHARD, MOST_SAMPLED) / total["pairs"]
+    chosen = F.lit(True) if share >= 1 else F.col("pair") < int(share * 2**64) - 2**63
+    sample = pages.where(known).select("page_id", pair.alias("pair")).where(chosen).distinct()
+    ids = np.sort(sample.select("page_id").toArrow()["page_id"].to_numpy())
+    return [int(ids[len(ids) * i // shards]) for i in range(1, shards)] if len(ids) else []
+
+
+def shard_of(bounds: list[int], page: int | None, url: str | None, sha1: str) -> int:
+    """Shard of a record. Those without id are spread over all shards, and those of an id that is
+    several bounds over the shards that begin with it, so that neither makes a shard large."""
+    if page is None:
+        first, last = 0, len(bounds)
+    else:
+        last = bisect_right(bounds, page)
+        first = min(bisect_left(bounds, page) + 1, last)
+    return first + zlib.crc32(f"{url} {sha1}".encode()) % (last - first + 1)
 
 
 RECORDS_A_STEP = 256
@@ -159,8 +185,9 @@ def write_archives(
 
     The payload is the html in UTF-8, empty for NULL. Of records with equal payloads of at least
     ``revisit_from`` bytes the one with the smallest page id is a response and the others revisit
-    it; rows that tie for the smallest id are all responses. A NULL id sorts before all ids and is
-    a response only if no equal payload has an id. NULL urls have no target; blanks and control
+    it; rows that tie for the smallest id are all responses. A NULL id sorts before the ids of its
+    shard and is a response only if no equal payload has an id. A task writes one shard; only rows
+    that are equal in id, url and html always share one. NULL urls have no target; blanks and control
     characters in urls are percent-encoded. An empty table gives an empty manifest. Other columns
     are not read.
     """
@@ -195,7 +222,7 @@ def write_archives(
                     digest = base64.b32encode(bytes.fromhex(row["sha1"])).decode()
                     rows.append({
                         "page_id": page, "url": url, "sha1": row["sha1"], "size": row["size"],
-                        "shard": 0 if page is None else bisect_right(bounds, page),
+                        "shard": shard_of(bounds, page, url, row["sha1"]),
                         "record": response(page, url, row["payload"], digest, date),
                     })
                 yield pa.RecordBatch.from_pylist(rows, schema=RECORD_FIELDS)
@@ -211,7 +238,7 @@ def write_archives(
             F.when(is_response, F.col("record")).alias("record"),
             F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"),
         )
-        .repartition(len(bounds) + 1, "shard")
+        .repartitionById(len(bounds) + 1, "shard")
         .sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "url", "sha1")
         # As text, since pandas would turn a column with NULLs into floating point.
         .withColumns({name: F.col(name).cast("string") for name in ("page_id", "first_id")})

@@ -171,6 +171,39 @@ def test_same_pages_give_the_same_files(spark):
     assert digests(1) == digests(6)
 
 
+def test_shards_hold_ranges_and_no_id_or_missing_id_fills_one(spark, monkeypatch):
+    """A third of the pages share an id, a third have none; the others lie in order of shards."""
+    rows = [(i, f"http://h{i}.org/", f"<p>{i}</p>") for i in range(400)]
+    rows += [(200, f"http://hot.org/{i}", f"<p>hot {i}</p>") for i in range(400)]
+    rows += [(None, f"http://none.org/{i}", f"<p>none {i}</p>") for i in range(400)]
+    folder = new_run_root(spark, "warc")
+    manifest = warc.write_archives(pages(spark, rows), folder, shard_bytes=500)
+    records = warc.read_archives(spark, folder).select("page_id", "target_uri", "file").collect()
+    assert len(records) == len(rows)
+    by_shard = {}
+    for r in records:
+        by_shard.setdefault(int(r["file"].split("-")[1]), []).append(r["page_id"])
+    shards = len(by_shard)
+    assert shards > 20
+    assert max(ids.count(None) for ids in by_shard.values()) < 400 / shards * 4
+    assert max(ids.count(200) for ids in by_shard.values()) < 400 / shards * 6
+    ranges = [[i for i in by_shard[s] if i is not None] for s in sorted(by_shard)]
+    for before, after in zip(ranges, ranges[1:]):
+        assert not before or not after or max(before) <= min(after)
+    assert sum(r["records"] for r in manifest.collect()) == len(rows) + manifest.count()
+
+
+def test_shards_and_sample_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_SHARDS", 7)
+    monkeypatch.setattr(warc, "MOST_SAMPLED", 50)
+    many = spark.range(20_000).selectExpr("id AS page_id", "'u' AS url", "'text' AS payload")
+    bounds = warc.shard_bounds(many, 10)
+    assert len(bounds) == 6 and bounds == sorted(bounds)
+    assert warc.shard_bounds(many.repartition(5), 10) == bounds
+    assert warc.shard_bounds(many.limit(0), 10) == []
+    assert warc.shard_bounds(many.selectExpr("CAST(NULL AS long) AS page_id", "url", "payload"), 10) == []
+
+
 def test_publishing_twice_and_damage(spark):
     folder = new_run_root(spark, "warc")
     manifest = warc.write_archives(pages(spark, web_rows()[:5]), folder)

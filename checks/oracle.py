@@ -472,7 +472,9 @@ def bronze_queries() -> dict[str, str]:
         "bronze_incremental": incremental(),
         "bronze_ingest_log": union([logged(name) for name in NAMES]),
         "bronze_ingest_failure": union([logged("customers"), failed]),
-        "bronze_new_feed_missing": failed.replace("'orders'", "'crm_customers'", 1),
+        "bronze_new_feed_missing": union(
+            [logged("orders"), failed.replace("'orders'", "'crm_customers'", 1)]
+        ),
         **{name: incremental() for name in (
             "bronze_late_drop", "bronze_batch_then_new", "bronze_new_then_batch")},
         "bronze_malformed": f"""SELECT 'order_amount' AS column_name, 'n/a' AS cell_text, order_id

@@ -112,9 +112,11 @@ def bronze_new_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(~again).drop("_source_file")
 
 
-def _new(spark: SparkSession, root: str, batch_id: str) -> None:
+def _new(
+    spark: SparkSession, root: str, batch_id: str, spec: SourceSpec = CUSTOMERS
+) -> None:
     ingest_new(
-        spark, CUSTOMERS, f"{root}/landing", f"{root}/bronze", f"{root}/manifests", f"{root}/log",
+        spark, spec, f"{root}/landing", f"{root}/bronze", f"{root}/manifests", f"{root}/log",
         DAY, batch_id=batch_id,
     )
 
@@ -147,8 +149,9 @@ def _two_drops(
 
 
 def bronze_new_feed_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nothing has landed: the new-files mode logs a failure too."""
-    root = new_run_root(spark, "landing")
+    """Only orders have landed: the new-files mode ingests them and logs customers as failed."""
+    root = _land(spark, sf_dir, ["orders"])
+    _new(spark, root, "first", ORDERS)
     try:
         _new(spark, root, "first")
     except Exception:

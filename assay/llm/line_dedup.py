@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assay.llm.shared import stored, words_of
+from assay.llm.shared import all_columns, stored, unused, words_of
 
 MIN_WORDS = 50
 
@@ -128,6 +128,7 @@ def dedup_lines(
     several lines or one, equal to the letter, of at least ``min_words`` words. Rows equal in id
     and text are one document and lose the same lines; a NULL text stays NULL; an empty text has
     nothing to lose; a document that only repeats others becomes empty. Long texts are read whole.
+    Where ``documents`` has a column ``removed_lines`` it stays, and the new one ends in ``_``.
     """
     lines = stored(line_table(documents, id_column, text_column, min_words), "lines")
     gone = repeated_lines(lines)
@@ -139,12 +140,13 @@ def dedup_lines(
         F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
     )
     rows = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"),
+        F.struct(*all_columns(documents)).alias("_row"),
         document_key(F.col(id_column), F.col(text_column)).alias("doc"),
     )
     others = [
         (text if c == text_column else F.col("_row")[c]).alias(c) for c in documents.columns
     ]
     return rows.join(gone, "doc", "left").select(
-        *others, F.coalesce("gone", F.array().cast("array<int>")).alias("removed_lines")
+        *others,
+        F.coalesce("gone", F.array().cast("array<int>")).alias(unused(documents, "removed_lines")),
     )

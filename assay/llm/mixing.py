@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assay.llm.shared import stored, words_of
+from assay.llm.shared import all_columns, stored, unused, words_of
 
 BLOCK_TOKENS = 1 << 20
 SECTIONS = 16
@@ -140,11 +140,12 @@ def mix_sources(
     room are left out. A NULL source is a source of its own. ``tokens`` is the size of a document, its words if
     not given. Documents without tokens weigh nothing and come once; so do all documents if no
     source has tokens. Repeated rows are rows of their own, but rows equal in id, source and text
-    stay or go together. With ``budget_tokens`` a source may be passed less than once.
+    stay or go together. With ``budget_tokens`` a source may be passed less than once. Columns of
+    ``documents`` keep their names; a result's name that one of them has ends in ``_``.
     """
     size = words_of(F.col("text")) if tokens is None else tokens
     sized = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+        F.struct(*all_columns(documents)).alias("row"),
         F.struct(F.col("source").isNull().alias("none"), F.col("source").alias("name")).alias(
             "source"
         ),
@@ -207,12 +208,13 @@ def mix_sources(
     )
     columns = [F.col("row")[c].alias(c) for c in documents.columns]
     result = [
-        *columns, F.col("take.mix_pass").cast("int").alias("mix_pass"),
-        F.col("block").alias("mix_block"), F.col("tokens").alias("mix_tokens"),
+        *columns, F.col("take.mix_pass").cast("int").alias(unused(documents, "mix_pass")),
+        F.col("block").alias(unused(documents, "mix_block")),
+        F.col("tokens").alias(unused(documents, "mix_tokens")),
         F.least(
             F.col("take.start") + F.col("take.stretch") * unit_interval("name", "take.mix_pass"),
             F.lit(LAST_POSITION),
-        ).alias("mix_position"),
+        ).alias(unused(documents, "mix_position")),
     ]
     in_whole = met.select("*", F.explode("whole").alias("take")).select(*result)
     # Only the blocks in which a budget ends are put in order. Rows of one name go together.

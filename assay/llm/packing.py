@@ -19,13 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assay.llm.shared import stored
+from assay.llm.shared import blocks_for, stored
 from assay.llm.tokens import encoder
 
 WINDOW = 2048
 QUANTUM = 8
 END_ID = 1
 RANK_BUCKETS = 256
+PIECES_A_BUCKET = 1 << 20
 DOCUMENTS_A_STEP = 512
 
 PIECE_FIELDS = [
@@ -217,14 +218,17 @@ def places(patterns: list[Pattern]) -> dict[int, Places]:
 
 def pack_pieces(
     pieces: DataFrame, window: int = WINDOW, quantum: int = QUANTUM,
-    rank_buckets: int = RANK_BUCKETS,
+    rank_buckets: int | None = None,
 ) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces of 1 to ``window`` ids.
 
     ``pieces`` must be a written table, as it is read three times. Pieces are ranked within their
     bin in two steps, by counts of hashed buckets and then inside a bucket, so that a length which
-    very many pieces have is never ordered in one task. Equal rows are interchangeable.
+    very many pieces have is never ordered in one task. There are buckets enough that one holds
+    about ``PIECES_A_BUCKET`` pieces if all have one length. Equal rows are interchangeable.
     """
+    if rank_buckets is None:
+        rank_buckets = max(RANK_BUCKETS, blocks_for(pieces.count(), PIECES_A_BUCKET))
     full = -(-window // quantum)
     keys = ("doc_id", "start", "ids_crc32", "doc_tokens", "length")
     binned = pieces.withColumn(

@@ -3,10 +3,11 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from assay.llm import ngram_join, toxicity
-from assay.llm.shared import ship_package
+from assay.llm import line_dedup, mixing, ngram_join, packing, toxicity
+from assay.llm.shared import ship_package, stored
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = "doc_id long, text string, lang string, score string, own_id string, `a.b` string, own_key int"
@@ -73,6 +74,60 @@ def test_without_labels_of_both_kinds_nothing_is_rejected(spark, sf_dir, tmp_pat
     assert not any(r["rejected"] for r in scores)
 
 
+CLASHING = (
+    "doc_id long, text string, source string, lang string, n_chars long, removed_lines string, "
+    "mix_pass string, Mix_Block int, mix_tokens int, mix_position int, `a.b` string, `c``d` int"
+)
+
+
+def test_columns_with_the_names_of_results_stay(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet")
+    )
+    line = " ".join(f"word{i}" for i in range(60))
+    mine = ("mine", "mine", 5, 6, 7, "dot", 8)
+    rows = [(1, line, "s", "en", 1, *mine), (2, f"{line}\nnew", "s", "en", 1, *mine), (3, None, None, None, 1, *mine)]
+    table = spark.createDataFrame(rows, CLASHING)
+    deduplicated = line_dedup.dedup_lines(table)
+    assert deduplicated.columns == [*table.columns, "removed_lines_"]
+    assert {r["doc_id"]: r["removed_lines_"] for r in deduplicated.collect()} == {
+        1: [], 2: [0], 3: [],
+    }
+    mixed = mixing.mix_sources(table)
+    assert mixed.columns == [
+        *table.columns, "mix_pass_", "mix_block_", "mix_tokens_", "mix_position_",
+    ]
+    assert {(r["mix_pass"], r["Mix_Block"], r["a.b"]) for r in mixed.collect()} == {
+        ("mine", 5, "dot"),
+    }
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, table, str(tmp_path))
+        assert found.columns == table.columns, name
+        assert {tuple(r)[5:] for r in found.collect()} == {mine}, name
+    assert corpus_pipeline.packing(spark, table, str(tmp_path)).count() == 3
+
+
+def test_more_pieces_have_more_buckets_and_the_same_fill(spark, monkeypatch):
+    """A bin is ranked whole whatever the buckets."""
+    pieces = stored(spark.range(3000).selectExpr(
+        "id AS doc_id", "0L AS start", "1 + id % 7 * 100 AS length", "id AS ids_crc32",
+        "1 + id % 7 * 100 AS doc_tokens",
+    ), "pieces")
+    monkeypatch.setattr(packing, "PIECES_A_BUCKET", 5)
+    found = packing.pack_pieces(pieces)
+    few = packing.pack_pieces(pieces, rank_buckets=2)
+    assert found.count() == few.count() == 3000
+    sizes = [
+        sorted(r["size"] for r in df.groupBy("sequence_id").agg(
+            F.sum("length").alias("size"), F.max(F.col("offset") + F.col("length")).alias("end")
+        ).where("size = end").collect())
+        for df in (found, few)
+    ]
+    assert sizes[0] == sizes[1] and max(sizes[0]) <= 2048 and sum(sizes[0]) == sum(
+        1 + i % 7 * 100 for i in range(3000)
+    )
+
+
 def test_empty_tables_through_the_stages(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(
         str(tmp_path / "labels.parquet")

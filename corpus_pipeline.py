@@ -12,7 +12,7 @@ from assay.llm.mixing import mix_sources
 from assay.llm.ngram_join import keep_one_of_each
 from assay.llm.packing import pack_documents
 from assay.llm.queries import table, tokenizer_file
-from assay.llm.shared import stored
+from assay.llm.shared import all_columns, stored
 from assay.llm.toxicity import keep_clean
 
 
@@ -25,7 +25,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier run go; every document stays, with its length anew."""
     return dedup_lines(docs).withColumn(
         "n_chars", F.length("text").cast("long")
-    ).select(*docs.columns)
+    ).select(*all_columns(docs))
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once; documents of small sources up to twice. The packing orders by
     length, so the documents are not sorted by their place in the mixture."""
-    return mix_sources(docs, max_passes=2.0).select(*docs.columns)
+    return mix_sources(docs, max_passes=2.0).select(*all_columns(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

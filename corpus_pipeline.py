@@ -34,9 +34,12 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once; documents of small sources up to twice. The packing orders by
-    length, so the documents are not sorted by their place in the mixture."""
-    return mix_sources(docs, max_passes=2.0).select(*all_columns(docs))
+    """Every document at least once; documents of small sources up to twice. In the mixture's
+    order."""
+    mixed = mix_sources(docs, max_passes=2.0)
+    mix_pass, *_, position = mixed.columns[len(docs.columns):]
+    ordered = mixed.orderBy(position, mix_pass, F.xxhash64("doc_id", "text"))
+    return ordered.select(*all_columns(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

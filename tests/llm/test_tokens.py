@@ -1,5 +1,6 @@
 """Packing and token scan: every id in one place, counts as brute force counts them."""
 
+import random
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from tokenizers import Tokenizer
 
 from assay.llm import packing, token_scan
 from assay.llm.shared import ship_package
-from assay.llm.tokens import WordEncoder
+from assay.llm.tokens import WordEncoder, byte_kinds, cut_pieces
 from assay.session import new_run_root
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +52,51 @@ def test_word_by_word_equals_whole_texts(tokenizer, spark, sf_dir):
                 assert np.frombuffer(ids, "<u4").tolist() == ids_of(tokenizer, text)
 
 
+PARTS = [
+    "a", "Words", "é", "ſ", "ß", "×", "÷", "ª", "²", "7", "2024", ".", ",", "--", "_", "'", "'s", "’", "<",
+    "<|endoftext|>", "漢", "🙂", "e\u0301", "\x1c", "\x85", "\u3000", "\u0660", "\t", "\r\n", "\n", "\n",
+    " ", " ", " ", " ", " ",
+]
+
+
+@pytest.mark.parametrize("special", [True, False])
+def test_pieces_of_made_up_texts_equal_whole_texts(special):
+    dice = random.Random(11)
+    texts = [
+        "".join(dice.choice(PARTS) for _ in range(dice.randrange(1, 60))) for _ in range(6_000)
+    ]
+    library = Tokenizer.from_file(PATH)
+    fast = WordEncoder(PATH)
+    library.encode_special_tokens = fast.tokenizer.encode_special_tokens = special
+    for at in range(0, len(texts), 500):
+        part = texts[at: at + 500]
+        for text, ids in zip(part, fast.encode(part), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == ids_of(library, text), repr(text)
+
+
+def test_words_are_cut_as_the_library_cuts_them(tokenizer):
+    texts = ["It is 2024, (or so).\nNew line: 3.5 élan_vital -- ok", "x", "a\n b!?c", "two  blanks"]
+    data = "".join(texts).encode()
+    starts = np.cumsum([0, *[len(text.encode()) for text in texts[:-1]]])
+    places, odd = cut_pieces(np.frombuffer(data, np.uint8), starts, byte_kinds(PATH))
+    found = [data[a:b].decode() for a, b in zip(places, [*places[1:], len(data)])]
+    wanted = [
+        text[a:b] for text in texts
+        for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)
+    ]
+    assert found == wanted and not odd.any()
+
+
+def test_words_with_other_marks_are_no_new_words():
+    dice = random.Random(13)
+    words = ["".join(dice.choice("abcdeéñ") for _ in range(12)) for _ in range(2_000)]
+    fast = WordEncoder(PATH)
+    fast.encode([" " + " ".join(words)])
+    before = len(fast.known)
+    fast.encode([" " + " ".join(f"{word}{dice.choice(['.', ',', '!?', ';'])}" for word in words)])
+    assert len(fast.known) - before < 10
+
+
 def check_packed(rows, expected):
     """Pieces cover every document once and sequences without gaps or overlap."""
     by_doc, by_sequence = {}, {}

@@ -75,6 +75,16 @@ def test_shared_passages_are_encoded_once():
     assert first > 50 and worker.chunks_encoded - first < 60
 
 
+def test_words_of_new_chunks_are_merged_once_whatever_marks_follow():
+    dice = random.Random(15)
+    words = ["".join(dice.choice("abcdeéñ") for _ in range(12)) for _ in range(500)]
+    worker = chunk_reuse.ChunkEncoder(PATH)
+    worker.encode([" ".join(words)])
+    chunks, before = worker.chunks_encoded, len(worker.words.known)
+    worker.encode([" ".join(f"{word}{dice.choice(['.', ',', '!?', ';'])}" for word in words)])
+    assert worker.chunks_encoded - chunks > 5 and len(worker.words.known) - before < 100
+
+
 def test_cuts_follow_the_content_and_their_bounds():
     dice = random.Random(7)
     text = "".join(dice.choice("abcdé漢 \n") for _ in range(60_000)).encode()

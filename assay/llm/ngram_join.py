@@ -90,20 +90,32 @@ def permutations(count: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
 FACTORS, SHIFTS = permutations(TREES * DEPTH)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """MinHash values; a set without shingles has the largest ones."""
-    lowest = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """MinHash values, one row per set; a set without shingles has the largest ones.
+
+    The sets are laid end to end, so that a step takes several small ones or a part of a large one.
+    """
+    ends = np.cumsum([0, *map(len, sets)])
+    lowest = np.full((len(FACTORS), len(sets)), np.iinfo(np.uint64).max, np.uint64)
+    shingles = np.concatenate([np.empty(0, np.uint64), *sets])
+    filled = np.flatnonzero(np.diff(ends))
+    starts = ends[filled]
     for at in range(0, len(shingles), SHINGLES_A_STEP):
         part = shingles[at: at + SHINGLES_A_STEP]
-        for i, (factor, shift) in enumerate(zip(FACTORS, SHIFTS, strict=True)):
-            lowest[i] = min(lowest[i], (part * factor + shift).min())
-    return lowest
+        first = np.searchsorted(starts, at, "right") - 1
+        last = np.searchsorted(starts, at + len(part))
+        cuts, rows = np.maximum(starts[first:last] - at, 0), filled[first:last]
+        for of_one, factor, shift in zip(lowest, FACTORS, SHIFTS, strict=True):
+            found = np.minimum.reduceat(part * factor + shift, cuts)
+            of_one[rows] = np.minimum(of_one[rows], found)
+    return lowest.T
 
 
-def labels_of(shingles: np.ndarray) -> list[bytes]:
-    """One label per tree: the low bytes of its mixed MinHash values, in order."""
-    values = mixed(signature(shingles)).astype(">u2")
-    return [values[t * DEPTH: (t + 1) * DEPTH].tobytes() for t in range(TREES)]
+def labels_of(sets: list[np.ndarray]) -> list[list[bytes]]:
+    """One label per set and tree: the low bytes of its mixed MinHash values, in order."""
+    values, size = mixed(signatures(sets)).astype(">u2"), DEPTH * VALUE_BYTES
+    rows = [row.tobytes() for row in np.ascontiguousarray(values)]
+    return [[row[t * size: (t + 1) * size] for t in range(TREES)] for row in rows]
 
 
 def prefix_depth(
@@ -127,16 +139,15 @@ def signed(documents: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, DOCUMENTS_A_STEP):
                 part = batch.slice(at, DOCUMENTS_A_STEP)
-                keys, sizes, labels = [], [], []
+                keys, sets = [], []
                 for text in part.column(1).to_pylist():
                     words = words_of(text)
-                    shingles = shingle_set(words)
                     keys.append(hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest())
-                    sizes.append(len(shingles))
-                    labels.append(labels_of(shingles))
+                    sets.append(shingle_set(words))
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()),
-                    pa.array(labels, pa.list_(pa.binary())),
+                    part.column(0), pa.array(keys, pa.binary()),
+                    pa.array(list(map(len, sets)), pa.int32()),
+                    pa.array(labels_of(sets), pa.list_(pa.binary())),
                 ], schema=schema)
 
     return documents.where("doc_id IS NOT NULL").select(
